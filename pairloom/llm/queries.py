@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, token_counts
+from . import exact_dedup, mixing, packing, simhash, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,10 +18,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archive(spark, warc.write_archive(_read(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
@@ -32,12 +41,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_warc_archive": op4_warc_archive,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_warc_archive": """
+        WITH t AS (
+          SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+          FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM t),
+        r AS (SELECT *, payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id AS again FROM f)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to
+        FROM r
+    """,
     "op9_exact_dedup": r"""
         WITH t AS (
           SELECT doc_id, length(coalesce(text, '')) AS n_points,

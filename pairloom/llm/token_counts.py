@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import binary_array, binary_view, load_tokenizer, slices, tokenizer_file
 
-_BLOCK = 4096
-_FLUSH = 1024
+_BLOCK = 16_384
+_FLUSH = 256
 _POSTING = [("doc", "<u2"), ("n", "u1")]
 _LOOSE = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r" (?=\S)")
@@ -49,7 +49,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for part in slices(batch, "text", _BLOCK):
+        for part in slices(batch, "text", _BLOCK, 32 << 20):
             led, first, heads = _Index(), _Index(), []
             docs, words, counts = [], [], []
             n_bytes = np.zeros(part.num_rows, np.int64)
@@ -60,13 +60,13 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     heads.append((first[head], i))
                 found = Counter(rest)
                 docs.append(len(found))
-                words.append(np.fromiter(map(led.__getitem__, found), np.int64, len(found)))
-                counts.append(np.fromiter(found.values(), np.int64, len(found)))
-            doc = np.repeat(np.arange(part.num_rows), docs)
+                words.append(np.fromiter(map(led.__getitem__, found), np.int32, len(found)))
+                counts.append(np.fromiter(found.values(), np.int32, len(found)))
+            doc = np.repeat(np.arange(part.num_rows, dtype=np.int32), docs)
             word, n = np.concatenate(words), np.concatenate(counts)
             if heads:
                 w, d = np.array(heads).T
-                word, doc, n = np.r_[word, w + len(led)], np.r_[doc, d], np.r_[n, np.ones(len(w), np.int64)]
+                word, doc, n = np.r_[word, w + len(led)], np.r_[doc, d], np.r_[n, np.ones(len(w), np.int32)]
             while (big := n > 255).any():  # a posting holds up to 255; the rest goes to further postings
                 word, doc, n = np.r_[word, word[big]], np.r_[doc, doc[big]], np.r_[np.where(big, 255, n), n[big] - 255]
             order = np.argsort(word, kind="stable")
@@ -167,7 +167,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 102
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spread = rows.mapInArrow(_frequencies, "block long, word string, data binary")
     key = F.when(F.col("word").isNull(), F.xxhash64("block")).otherwise(F.xxhash64("word"))
-    met = spread.withColumn("k", key).repartition("k").sortWithinPartitions("word").select("block", "word", "data")
+    met = spread.repartition(key).sortWithinPartitions("word")
     sums = met.mapInArrow(_join_counts(tokenizer or tokenizer_file()), "block long, head boolean, data binary")
     counted = sums.repartition("block").sortWithinPartitions("block").mapInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -54,6 +54,36 @@ def load_tokenizer(path: str):
     return tok
 
 
+#: Fixed value: the byte-level pre-token pattern of the published 50k vocabulary.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@lru_cache(maxsize=4)
+def load_ranks(path: str):
+    """A rank-merging encoder with the vocabulary of the tokenizer file ``path``, or None where it could differ.
+
+    It gives the file's ids only for plain byte-level BPE whose merges are listed in the order of their ids, without
+    normalizer, prefix space or dropout. It knows no special tokens.
+    """
+    import json
+
+    import tiktoken
+
+    spec = json.loads(open(path, encoding="utf-8").read())
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and spec["normalizer"] is None
+    if not plain or model.get("dropout") or model.get("ignore_merges") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+    vocab, added = model["vocab"], {t["content"] for t in spec["added_tokens"]}
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if made != sorted(made):
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in added}
+    return tiktoken.Encoding(path, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def slices(batch: pa.RecordBatch, column: str, max_rows: int = 4096, max_bytes: int = 16 << 20):
     """Cut an Arrow batch into consecutive slices of at most ``max_rows`` rows and about ``max_bytes`` of ``column``.
 

@@ -11,16 +11,18 @@ third of all pieces is dealt over all buckets.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import load_tokenizer, materialise, slices, tokenizer_file
+from .common import load_ranks, load_tokenizer, materialise, slices, tokenizer_file
 from .token_counts import pre_tokens
 
-_CACHE = 400_000
+_CACHE = 250_000
+_TAIL = ".,;:!?)"
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -64,25 +66,31 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int
 
 
 class _Ids(dict):
-    """Little-endian unsigned 32-bit ids of a pre-token; forgets all when full."""
+    """Little-endian unsigned 32-bit ids of the parts of texts; keeps the parts seen last in two generations."""
 
-    def __init__(self, tok):
-        self.tok = tok
-
-    def __missing__(self, word):
-        import numpy as np
+    def __init__(self, tokenizer: str, led: str):
+        self.tok, self.ranks, self.led, self.old = load_tokenizer(tokenizer), load_ranks(tokenizer), led, {}
+        self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
+    def __missing__(self, part):
         if len(self) >= _CACHE:
+            self.old = dict(self)
             self.clear()
-        self[word] = out = np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return out
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self._encode(self.led + part)
+        self[part] = ids
+        return ids
+
+    def _encode(self, text: str) -> bytes:
+        if self.ranks is not None and not any(s in text for s in self.specials):
+            return array("I", self.ranks.encode_ordinary(text)).tobytes()
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def _pieces(tokenizer: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load_tokenizer(tokenizer)
-        led, first, tail = _Ids(tok), _Ids(tok), end_id.to_bytes(4, "little")
-        led.__class__ = _LedIds
+        led, first, tail = _Ids(tokenizer, " "), _Ids(tokenizer, ""), end_id.to_bytes(4, "little")
         for batch in batches:
             for part in slices(batch, "text"):
                 out = []
@@ -102,16 +110,6 @@ def _pieces(tokenizer: str, capacity: int, end_id: int):
     return run
 
 
-class _LedIds(_Ids):
-    def __missing__(self, word):
-        import numpy as np
-
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = out = np.array(self.tok.encode(f" {word}", add_special_tokens=False).ids, "<u4").tobytes()
-        return out
-
-
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with ``end_id`` behind, longer ones cut.
 

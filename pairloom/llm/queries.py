@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash, token_counts, warc
+from . import exact_dedup, mixing, packing, quality, simhash, token_counts, topk, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archive(spark, warc.write_archive(_read(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -31,6 +36,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_read(spark, sf_dir, "documents"))
 
@@ -39,16 +49,36 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_exact_top_k": op2_exact_top_k,
     "op4_warc_archive": op4_warc_archive,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_line_quality": op7_line_quality,
     "op8_mix_sources": op8_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_top_k": """
+        WITH part AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM part a JOIN part b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.q) = len(b.q)),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
     "op4_warc_archive": """
         WITH t AS (
           SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest

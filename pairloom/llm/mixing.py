@@ -225,8 +225,12 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("_shards")).cast("long").alias("taken"), F.col("_shards").alias("shards"))
 
 
-def mix(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mixed corpus: all columns of ``docs``, a row for each copy taken, partitioned by shard and shuffled within."""
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mixed corpus: all columns of ``docs``, a row for each copy taken, partitioned by shard and shuffled within.
+
+    As many shards as the session has shuffle partitions, if not given. Edge cases are those of ``mix_report``.
+    """
+    shards = shards or min(4096, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     m = Mix(docs, shards=shards, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     keyed = docs.withColumn("_h", _order(seed, id_col, source_col))
     out = m.decide(keyed, id_col, source_col).select(*docs.columns, F.posexplode("_shards").alias("_copy", "_shard"), F.col("_h"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash, token_counts, topk, toxicity, warc
+from . import exact_dedup, mixing, packing, quality, simhash, substring_dedup, token_counts, topk, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archive(spark, warc.write_archive(_read(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -57,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_warc_archive": op4_warc_archive,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,

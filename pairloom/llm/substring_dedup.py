@@ -27,7 +27,7 @@ from .suffix_array import common_prefixes, suffix_array
 
 _PIECE = 1 << 20
 _ODD = 0xD1342543DE82EF95
-_SHARD = 1 << 20
+_SHARD = 2 << 20
 
 
 class Anchors:
@@ -239,8 +239,8 @@ def _extract(width: int, gram: int):
                 s = slice(k, k + 20_000)
                 text = b"".join([raw[x:y] for x, y in zip(a[s].tolist(), b[s].tolist(), strict=True)])
                 ends = np.r_[0, np.cumsum(b[s] - a[s])]
-                cols = [parts.field("h").slice(k, 20_000), pa.array(batch.column("key").to_numpy()[row[s]]), pa.array((a[s] - at[row[s]]).astype(np.int32)), parts.field("flags").slice(k, 20_000), binary_array(text, ends)]
-                yield pa.RecordBatch.from_arrays(cols, ["h", "key", "start", "flags", "text"])
+                cols = [parts.field("h").slice(k, 20_000), pa.array(batch.column("key").to_numpy()[row[s]]), pa.array(pos[s].astype(np.int32)), parts.field("flags").slice(k, 20_000), binary_array(text, ends)]
+                yield pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "flags", "text"])
 
     return run
 
@@ -262,13 +262,11 @@ def repeated_spans(size, key, start, flags, text, width: int):
     t[: n - 1][real] = np.minimum(text, 253) + 2
     t[n - 1] = 0
     order = suffix_array(t, width)
-    common = common_prefixes(t, order, width)[order]
-    order_ok = (order < n - 1) & (size[row_of[np.minimum(order, n - 2)]] - offset[np.minimum(order, n - 2)] >= width)
-    run = np.cumsum(common < width)
-    pick = order_ok & (order < n - 1)
-    p, run = order[pick], run[pick]
+    inner = np.minimum(order, n - 2)
+    p = order[(order < n - 1) & (size[row_of[inner]] - offset[inner] >= width)]
     if not len(p):
         return (np.zeros(0, np.int64),) * 3
+    run = np.cumsum(common_prefixes(t, p, width)[p] < width)
     row = row_of[p]
     place = start[row].astype(np.int64) + offset[p]
     _, known = np.unique(key[row], return_inverse=True)
@@ -289,17 +287,47 @@ def repeated_spans(size, key, start, flags, text, width: int):
     return row[at], a[at], a[np.r_[at[1:], len(a)] - 1] + width
 
 
-def _sort_shards(width: int):
+def _likely(h, size, left, flags, data, width: int, gram: int):
+    """Which rows can share a window at their anchor with another of their shard.
+
+    A window reaches some way to the left of the anchor and the rest of the way to the right. Cut in four by how far it
+    reaches to the left, the windows of a quarter share a string of at least three quarters of the neighbourhood. Rows
+    that share none of the four strings with another row are left out, and so are shards where no row's spans are wanted.
+    """
+    import numpy as np
+
+    n, side = len(data), width - gram
+    up = np.cumprod(np.r_[np.uint64(1), np.full(n, _ODD, np.uint64)])
+    down = np.cumprod(np.r_[np.uint64(1), np.full(n, pow(_ODD, -1, 1 << 64), np.uint64)])
+    total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n])]
+    anchor = np.cumsum(size) - size + left
+    right = size - left - gram
+    keep = np.zeros(len(size), bool)
+    for q in range(4):
+        la, ra = side * q // 4, side - side * (q + 1) // 4
+        can = np.flatnonzero((left >= la) & (right >= ra))
+        a, b = anchor[can] - la, anchor[can] + gram + ra
+        mark = (total[b] - total[a]) * down[a]
+        mark = (mark ^ (mark >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[can].view(np.uint64)
+        _, which, count = np.unique(mark, return_inverse=True, return_counts=True)
+        keep[can[count[which] > 1]] = True
+    _, shard = np.unique(h, return_inverse=True)
+    return keep & (np.bincount(shard, keep & (flags & 1 > 0)) > 0)[shard]
+
+
+def _sort_shards(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        names = ["h", "key", "start", "flags"]
-
         def work(table: pa.Table):
-            cols = [table.column(c).to_numpy() for c in names]
+            h, key, pos, flags = (table.column(c).to_numpy() for c in ("h", "key", "pos", "flags"))
             text, at = binary_view(table.column("text"))
-            row, a, b = repeated_spans(np.diff(at), *cols[1:], text, width)
-            return pa.RecordBatch.from_arrays([pa.array(cols[1][row]), pa.array(a), pa.array(b)], ["key", "start", "end"])
+            size, left = np.diff(at), np.minimum(pos, width - gram).astype(np.int64)
+            keep = _likely(np.ascontiguousarray(h), size, left, flags, text, width, gram)
+            text, size = text[np.repeat(keep, size)], size[keep]
+            key, start, flags = key[keep], (pos - left)[keep], flags[keep]
+            row, a, b = repeated_spans(size, key, start, flags, text, width) if len(key) else (np.zeros(0, np.int64),) * 3
+            return pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(a), pa.array(b)], ["key", "start", "end"])
 
         held, size = [], 0
         for batch in batches:
@@ -382,8 +410,8 @@ def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None,
     found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, key long, pos int, flags byte")
     kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip").mapInArrow(_match, "h long, key long, pos int, flags byte"))
     asked = kinds.filter("flags < 4").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "flags")).alias("asked"))  # bounded by the text's length
-    parts = texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract(width, gram), "h long, key long, start int, flags byte, text binary")
-    border = parts.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_shards(width), "key long, start long, end long")
+    parts = texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract(width, gram), "h long, key long, pos int, flags byte, text binary")
+    border = parts.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_shards(width, gram), "key long, start long, end long")
     whole = kinds.filter("flags = 4").select("key", F.greatest(F.col("pos") - (width - gram), F.lit(0)).cast("long").alias("start"), (F.col("pos") + width).cast("long").alias("end"))
     spans = whole.union(border).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # bounded by the text's length
     done = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(_cut(width), "key long, n_removed long, n_spans long, kept_sha256 string")

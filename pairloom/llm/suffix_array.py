@@ -131,26 +131,30 @@ def suffix_array(t, depth: int):
 
 
 def common_prefixes(t, order, most: int):
-    """For each position in text order the common prefix, up to ``most``, with the suffix before it in ``order`` (-1: none)."""
+    """The permuted common prefixes: for each position in text order its common prefix, up to ``most``, with its forerunner.
+
+    ``order`` has all suffixes or some of them, sorted; the forerunner is the one before in it. -1: none, or not in it.
+    """
     import numpy as np
 
     words, last = words_at(t), len(t) - 1
     before = np.full(len(t), -1)
     before[order[1:]] = order[:-1]
-    out = np.zeros(len(t), np.int64)
-    out[before < 0] = -1
+    out = np.full(len(t), -1, np.int64)
     todo = np.flatnonzero(before >= 0)
+    out[todo] = 0
+    other = before[todo]
     for done in range(0, most, 8):
         if not len(todo):
             break
-        x = words[np.minimum(todo + done, last)] ^ words[np.minimum(before[todo] + done, last)]
-        inside = np.maximum(todo, before[todo]) + done <= last
+        x = words[np.minimum(todo + done, last)] ^ words[np.minimum(other + done, last)]
+        inside = np.maximum(todo, other) + done <= last
         whole = (x == 0) & inside
-        out[todo[whole]] += 8
         odd = inside & ~whole
         y, same = x[odd], np.zeros(int(odd.sum()), np.int64)
         for k in range(1, 8):  # leading equal symbols of the word
             same += (y >> np.uint64(8 * (8 - k))) == 0
-        out[todo[odd]] += same
-        todo = todo[whole]
+        out[todo[odd]] = done + same
+        out[todo[inside & whole]] = done + 8
+        todo, other = todo[whole], other[whole]
     return np.minimum(out, most)

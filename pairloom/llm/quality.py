@@ -214,7 +214,7 @@ def quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str =
         import numpy as np
 
         for batch in batches:
-            for part in slices(batch, "text", max_bytes=4 << 20):
+            for part in slices(batch, "text", max_bytes=1 << 20):
                 found, n_lines, bad = raw_scores(part.column("text").to_pylist(), model)
                 s = 1 / (1 + np.exp(-(model.a * _logit(found) + model.b)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(s), pa.array(n_lines), pa.array(bad)], ["doc_id", "held_out", "score", "n_lines", "n_bad_lines"])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import slices
 from .linear import held_out, labelled_sample, lbfgs, log_loss
 
-_BITS = 20
+_BITS = 22
 _GRAMS = (3, 4, 5)
 
 
@@ -31,63 +31,67 @@ class Model:
 
 
 def hashed_grams(texts: list[str]):
-    """For each n of ``_GRAMS`` (document numbers, hashes) of all character n-grams, ends of texts marked, none across."""
+    """(first positions of the texts, for each n of ``_GRAMS`` the hashes of all character n-grams, from every position).
+
+    Texts are lower-cased and apart, so that n-grams see their ends but never two texts.
+    """
     import numpy as np
 
     gap = max(_GRAMS) - 1
     low = [t.lower() for t in texts]
-    sizes = np.fromiter(map(len, low), np.int64, len(low))
+    first = np.cumsum(np.r_[0, np.fromiter(map(len, low), np.int64, len(low)) + gap])[:-1]
     joined = ("\0" * gap).join(low) + "\0" * gap
-    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    doc = np.repeat(np.arange(len(low)), sizes + gap)
-    if not len(low):
-        return
-    h = chars * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) + np.uint64(1)
-    roll = h.copy()
+    h = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4") * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    h += np.uint32(1)
+    roll, out = h, []
     for n in range(2, max(_GRAMS) + 1):
-        roll = roll[:-1] * np.uint64(0xD1342543DE82EF95) + h[n - 1 :]
+        roll = roll[:-1] * np.uint32(0x2C1B3C6D) + h[n - 1 :]
         if n in _GRAMS:
-            mixed = (roll ^ (roll >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            yield doc[: len(roll)], (mixed >> np.uint64(64 - _BITS)).astype(np.int64)
+            mixed = roll ^ (roll >> np.uint32(16))
+            mixed *= np.uint32(0x85EBCA6B)
+            mixed >>= np.uint32(32 - _BITS)
+            out.append(mixed)
+    return first, out
 
 
 def _held(texts: list[str], wanted):
-    """(document, feature) pairs, each once: the n-grams of ``wanted`` (feature number by hash, -1: none) in each text."""
+    """(document, hash) pairs, each once: the n-grams in each text whose hash is ``wanted`` (flags by hash)."""
     import numpy as np
 
+    first, grams = hashed_grams(texts)
     pairs = []
-    for doc, slot in hashed_grams(texts):
-        feature = wanted[slot]
-        at = np.flatnonzero(feature >= 0)
-        pairs.append(doc[at] * np.int64(1 << 32) + feature[at])
-    both = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-    return both >> 32, both & 0xFFFFFFFF
+    for slot in grams:
+        at = np.flatnonzero(wanted[slot])
+        pairs.append((np.searchsorted(first, at, "right") - 1) << _BITS | slot[at])
+    both = np.unique(np.concatenate(pairs))
+    return both >> _BITS, both & ((1 << _BITS) - 1)
 
 
-def train(texts: list[str], y, weight, features: int = 30_000, smooth: float = 1.0, l2: float = 2.0) -> Model:
+def train(texts: list[str], y, weight, features: int = 30_000, smooth: float = 1.0, l2: float = 1.0) -> Model:
     import numpy as np
 
     if not len(texts) or y.min() == y.max():  # nothing to tell apart: the share of toxic rows
         share = float(np.average(y, weights=weight)) if len(texts) else 0.0
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    every, docs, slots = np.arange(1 << _BITS), [], []
-    for k in range(0, len(texts), 256):
-        d, s = _held(texts[k : k + 256], every)
-        docs.append((d + k).astype(np.int32))
-        slots.append(s.astype(np.int32))
-    doc, slot = np.concatenate(docs), np.concatenate(slots)
-    toxic = y[doc] == 1
-    p = np.bincount(slot[toxic], minlength=1 << _BITS)
-    q = np.bincount(slot[~toxic], minlength=1 << _BITS)
+    counts = np.zeros((2, 1 << _BITS), np.int64)
+    every = np.ones(1 << _BITS, bool)
+    for k in range(0, len(texts), 64):
+        doc, slot = _held(texts[k : k + 64], every)
+        toxic = y[k + doc] == 1
+        for c in (0, 1):
+            counts[c] += np.bincount(slot[toxic == c], minlength=1 << _BITS)
+    q, p = counts
     ratio = np.log((p + smooth) / (y.sum() + 2 * smooth)) - np.log((q + smooth) / ((1 - y).sum() + 2 * smooth))
     gain = np.where(p + q >= 3, np.abs(ratio) * np.sqrt(p + q), 0)
     chosen = np.sort(np.argpartition(-gain, min(features, len(gain) - 1))[:features])
     chosen = chosen[gain[chosen] > 0]
-    number = np.full(1 << _BITS, -1, np.int64)
-    number[chosen] = np.arange(len(chosen))
-    keep = number[slot] >= 0
-    doc, f, r = doc[keep], number[slot[keep]], ratio[chosen]
+    wanted = np.zeros(1 << _BITS, bool)
+    wanted[chosen] = True
+    held = [_held(texts[k : k + 64], wanted) for k in range(0, len(texts), 64)]
+    doc = np.concatenate([d + 64 * k for k, (d, _) in enumerate(held)])
+    f = np.searchsorted(chosen, np.concatenate([s for _, s in held]))
+    r = ratio[chosen]
     x = r[f]
 
     def loss(w):
@@ -102,12 +106,17 @@ def train(texts: list[str], y, weight, features: int = 30_000, smooth: float = 1
 
 
 def score(texts: list[str], model: Model):
+    """Probabilities that the whole ``texts`` are toxic."""
     import numpy as np
 
-    number = np.full(1 << _BITS, -1, np.int64)
-    number[model.slots] = np.arange(len(model.slots))
-    doc, f = _held(texts, number)
-    z = np.bincount(doc, model.weights[f] if len(f) else None, len(texts)) + model.bias if len(f) else np.full(len(texts), model.bias)
+    if not texts:
+        return np.zeros(0)
+    wanted = np.zeros(1 << _BITS, bool)
+    wanted[model.slots] = True
+    doc, slot = _held(texts, wanted)
+    z = np.full(len(texts), model.bias)
+    if len(doc):
+        z += np.bincount(doc, model.weights[np.searchsorted(model.slots, slot)], len(texts))
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -125,7 +134,7 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", max_bytes=4 << 20):
+            for part in slices(batch, "text", max_bytes=1 << 19):
                 found = score(part.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(found)], ["doc_id", "held_out", "score"])
 
@@ -141,7 +150,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text_col:
 
         for batch in batches:
             whole = batch.set_column(batch.schema.get_field_index(text_col), text_col, pc.fill_null(batch.column(text_col), ""))
-            found = [score(part.column(text_col).to_pylist(), model) for part in slices(whole, text_col, max_bytes=4 << 20)]
+            found = [score(part.column(text_col).to_pylist(), model) for part in slices(whole, text_col, max_bytes=1 << 19)]
             clean = [bool(x < threshold) for s in found for x in s]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -169,11 +169,11 @@ def dense_topk_predict(spark, sf):
 
 @query(f"""WITH {V}, c AS (SELECT id, e FROM v ORDER BY {ANCHOR}, id LIMIT 16),
   n AS (SELECT v.id, c.id AS cell, row_number() OVER (PARTITION BY v.id ORDER BY round(list_cosine_similarity(v.e, c.e), 6) DESC, c.id) AS r FROM v, c),
-  s AS (SELECT q.id AS i, x.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM n q JOIN n x ON q.cell = x.cell AND q.r <= 4 AND x.r = 1 AND q.id <> x.id JOIN v a ON a.id = q.id JOIN v b ON b.id = x.id)
+  s AS (SELECT q.id AS i, x.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM n q JOIN n x ON q.cell = x.cell AND q.r <= 12 AND x.r = 1 AND q.id <> x.id JOIN v a ON a.id = q.id JOIN v b ON b.id = x.id)
   SELECT i, j, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM s QUALIFY rank <= 5""")
 def ann_topk(spark, sf):
     v = _vectors(spark, sf)
-    return vectors.cell_topk(v, 5, sampling.take(v, 16, SEED, ["id"]), probes=4).select("i", "j", "rank")
+    return vectors.cell_topk(v, 5, sampling.take(v, 16, SEED, ["id"]), probes=12).select("i", "j", "rank")
 
 
 def _tfidf_sql(extra: str = "") -> str:
@@ -439,4 +439,4 @@ def mask_importance(spark, sf):
 @query()
 def ann_trained_topk(spark, sf):
     v = _vectors(spark, sf)
-    return vectors.cell_topk(v, 5, vectors.kmeans_centroids(v, 16, 20_000), probes=6).select("i", "j", "rank")
+    return vectors.cell_topk(v, 5, vectors.kmeans_centroids(v, 16, 20_000), probes=12).select("i", "j", "rank")

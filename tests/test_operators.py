@@ -131,9 +131,9 @@ def test_pair_files(spark, tmp_path):
 
 
 def test_batch_pipeline(spark, tmp_path):
-    lines = ["name,city,canonical_int"] + [f"name {k % 12} inc {'x' * (k % 3)},town {k % 12},{k % 12}" for k in range(120)]
+    lines = ["name,city,canonical_int"] + [f"name {k % 12 + 10} inc {'x' * (k % 3)},town {k % 12 + 10},{k % 12}" for k in range(120)]
     (tmp_path / "raw.csv").write_text("\n".join(lines) + "\n")
-    (tmp_path / "new.csv").write_text("name,city\nname 3 inc,town 3\n")
+    (tmp_path / "new.csv").write_text("name,city\nname 13 inc,town 13\n")
     d = readers.Dataset(raw=str(tmp_path / "raw.csv"), gold=str(tmp_path / "gold"), out=str(tmp_path / "out"), predict=str(tmp_path / "new.csv"), text_fields=("name", "city"), top_k=15)
     pipeline.run(spark, d)
     report = spark.read.text(str(tmp_path / "out/test_report"), wholetext=True).first()["value"]

@@ -34,6 +34,34 @@ def _blocks(rows: int):
     return run
 
 
+def _best(q, qids, m, ids, k: int, exclude_self: bool):
+    """(i, j, score) of the ``k`` best columns of each row of the unit matrices' product; ties to the smaller id."""
+    import numpy as np
+
+    out = [[], [], []]
+    for s in range(0, len(qids), 512):
+        score = np.round(q[s : s + 512] @ m.T, 6)
+        if exclude_self:
+            score[qids[s : s + 512, None] == ids] = -np.inf
+        n = min(k, len(ids))
+        edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
+        r, col = np.nonzero((score >= edge[:, None]) & (score > -np.inf))  # with all ties at the edge
+        order = np.lexsort((ids[col], -score[r, col], r))
+        r, col = r[order], col[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+        r, col = r[keep], col[keep]
+        for x, y in zip(out, (qids[s + r], ids[col], score[r, col]), strict=True):
+            x.append(y)
+    return out
+
+
+def _table(parts) -> pa.Table:
+    import numpy as np
+
+    cols = [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in zip(parts, ("i8", "i8", "f8"), strict=True)]
+    return pa.Table.from_arrays(cols, ["i", "j", "score"])
+
+
 def _tile(k: int, exclude_self: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         import numpy as np
@@ -43,22 +71,25 @@ def _tile(k: int, exclude_self: bool):
             ids, m = np.frombuffer(c["ids"], "<i8"), np.frombuffer(c["unit"]).reshape(-1, c["dim"])
             for a in right.to_pylist():
                 qids, q = np.frombuffer(a["ids"], "<i8"), np.frombuffer(a["unit"]).reshape(-1, c["dim"])
-                for s in range(0, len(qids), 512):
-                    score = np.round(q[s : s + 512] @ m.T, 6)
-                    if exclude_self:
-                        score[qids[s : s + 512, None] == ids] = -np.inf
-                    n = min(k, len(ids))
-                    edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
-                    r, col = np.nonzero((score >= edge[:, None]) & (score > -np.inf))  # with all ties at the edge
-                    order = np.lexsort((ids[col], -score[r, col], r))
-                    r, col = r[order], col[order]
-                    keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-                    r, col = r[keep], col[keep]
-                    out[0].append(qids[s + r])
-                    out[1].append(ids[col])
-                    out[2].append(score[r, col])
-        cols = [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in zip(out, ("i8", "i8", "f8"), strict=True)]
-        return pa.Table.from_arrays(cols, ["i", "j", "score"])
+                for x, y in zip(out, _best(q, qids, m, ids, k, exclude_self), strict=True):
+                    x += y
+        return _table(out)
+
+    return run
+
+
+def _cell(k: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        import numpy as np
+
+        def unit(t):
+            v = t.column("vec").combine_chunks()
+            m = v.flatten().to_numpy().astype(np.float64).reshape(len(v), -1)
+            return m / (np.sqrt((m * m).sum(1, keepdims=True)) + 1e-8)
+
+        if not left.num_rows or not right.num_rows:
+            return _table([[], [], []])
+        return _table(_best(unit(right), right.column("i").to_numpy(), unit(left), left.column("id").to_numpy(), k, True))
 
     return run
 
@@ -84,21 +115,24 @@ def dense_topk(corpus: DataFrame, k: int, anchors: DataFrame | None = None, excl
     return _top(found, k)
 
 
-def cell_topk(corpus: DataFrame, k: int, centroids: DataFrame, probes: int, anchors: DataFrame | None = None) -> DataFrame:
+def cell_topk(corpus: DataFrame, k: int, centroids: DataFrame, probes: int, anchors: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Approximate ``dense_topk``: rows lie in the cell of their nearest centroid and anchors probe ``probes`` cells.
 
     ``centroids`` (id, vec) are rows of the corpus or a trained quantiser's.
     """
-    cell = dense_topk(centroids, 1, corpus, exclude_self=False).select(F.col("i").alias("id"), F.col("j").alias("cell"))
-    asked = dense_topk(centroids, probes, corpus if anchors is None else anchors, exclude_self=False).select(F.col("i"), F.col("j").alias("cell"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    from ..functions.text import l2_normalise
-
-    unit = corpus.select("id", l2_normalise(F.col("vec")).alias("u"))
-    near = asked.join(cell, "cell").filter(F.col("i") != F.col("id")).select("i", F.col("id").alias("j"))
-    own = (corpus if anchors is None else anchors).select(F.col("id").alias("i"), l2_normalise(F.col("vec")).alias("v"))
-    scored = near.join(own, "i").join(unit.withColumnRenamed("id", "j"), "j").select("i", "j", F.round(dot(F.col("u"), F.col("v")), 6).alias("score"))
-    return _top(scored, k)
+    rows = corpus.select(F.col("id").cast("long").alias("id"), "vec")
+    asking = rows if anchors is None else anchors.select(F.col("id").cast("long").alias("id"), "vec")
+    cell = dense_topk(centroids, 1, rows, exclude_self=False).select(F.col("i").alias("id"), F.col("j").alias("cell"))
+    asked = dense_topk(centroids, probes, asking, exclude_self=False).select("i", F.col("j").alias("cell"))
+    # a cell's rows are dealt to parts of about `block` rows, and its queries to chunks of as many; a group is one of each
+    sizes = cell.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("long").alias("parts"))
+    chunks = asked.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("long").alias("chunks"))
+    plan = sizes.join(chunks, "cell")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = cell.join(rows, "id").join(plan, "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), every("chunks").alias("chunk"), "id", "vec")
+    right = asked.join(asking.withColumnRenamed("id", "i"), "i").join(plan, "cell").select(F.col("cell").alias("c"), every("parts").alias("p"), F.pmod(F.xxhash64("i"), F.col("chunks")).alias("h"), "i", "vec")
+    found = left.groupBy("cell", "part", "chunk").cogroup(right.groupBy("c", "p", "h")).applyInArrow(_cell(k), "i long, j long, score double")
+    return _top(found, k)
 
 
 def kmeans_centroids(corpus: DataFrame, cells: int, sample: int, seed: int = 7) -> DataFrame:

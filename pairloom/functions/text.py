@@ -26,6 +26,12 @@ def record_text(fields: list[str], prefix: str = "") -> Column:
     return F.concat_ws(" ", *parts)
 
 
+def record_text_except(columns: list[str], skip: list[str]) -> Column:
+    """Record text of all ``columns`` but ``skip``, compared without case."""
+    left_out = {s.lower() for s in skip}
+    return record_text([c for c in columns if c.lower() not in left_out])
+
+
 def tagged_record_text(table: str, id_col: str, fields: list[str]) -> Column:
     """Record text that starts with the source table and the id."""
     return F.concat(F.lit(f"COL table VAL {table} COL id VAL "), normalize_text(F.col(id_col)), F.lit(" "), record_text(fields))

@@ -22,13 +22,13 @@ def shared_key_topk(df: DataFrame, keys: Column, k: int, id_col: str = "id", max
     return counted.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
 
 
-def key_block_pairs(df: DataFrame, keys: Column, seed, block_cap: int = 1000, id_col: str = "id") -> DataFrame:
+def key_block_pairs(df: DataFrame, keys: Column, seed, block_cap: int | None = 1000, id_col: str = "id") -> DataFrame:
     """i, j (i < j): distinct pairs of rows in a common block; blocks keep ``block_cap`` rows chosen by hash.
 
-    The cap is the operator's own sampling rule: a block is a sample of at most ``block_cap`` rows.
+    The cap is the operator's own sampling rule: a block is a sample of at most ``block_cap`` rows; None keeps all.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.explode(keys).alias("key")).distinct()
-    capped = with_rank(rows, seed, ["key", "id"], ["key"]).filter(F.col("_rank") <= block_cap)
+    capped = rows if block_cap is None else with_rank(rows, seed, ["key", "id"], ["key"]).filter(F.col("_rank") <= block_cap)
     a, b = capped.select(F.col("id").alias("i"), "key"), capped.select(F.col("id").alias("j"), "key")
     return a.join(b, "key").filter("i < j").select("i", "j").distinct()
 

@@ -20,6 +20,14 @@ def combine(a: DataFrame, b: DataFrame, mode: str = "union") -> DataFrame:
     return modes[mode]()
 
 
+def assert_disjoint(*tables: DataFrame) -> None:
+    """A ValueError if two of the tables share a row; only one shared row is looked for."""
+    for k, a in enumerate(tables):
+        for b in tables[k + 1 :]:
+            if not a.intersect(b).isEmpty():
+                raise ValueError("the tables share rows")
+
+
 def label_by_cluster(pairs: DataFrame, clusters: DataFrame, rule: str = "equal") -> DataFrame:
     """``pairs`` with ``label``: 1 if both sides (``clusters``: id, cluster) have the same cluster.
 

@@ -45,10 +45,24 @@ def _label_split(rank: Column, train: Column, valid: Column) -> Column:
     return F.when(rank <= train, "train").when(rank <= train + valid, "valid").otherwise("test")
 
 
-def random_split(df: DataFrame, seed, keys: list[str], train: float = 0.8, valid: float = 0.1) -> DataFrame:
-    """``df`` with ``split``: the floors of the shares, the rest is test."""
+def random_split(df: DataFrame, seed, keys: list[str], train: float = 0.8, valid: float = 0.1, least: int = 0) -> DataFrame:
+    """``df`` with ``split``: the floors of the shares, ``least`` rows at least in train and valid, the rest is test."""
     n = df.count()
-    return with_rank(df, seed, keys).withColumn("split", _label_split(F.col("_rank"), F.lit(int(n * train)), F.lit(int(n * valid)))).drop("_rank")
+    return with_rank(df, seed, keys).withColumn("split", _label_split(F.col("_rank"), F.lit(max(least, int(n * train))), F.lit(max(least, int(n * valid))))).drop("_rank")
+
+
+def guarded_split(df: DataFrame, seed, keys: list[str], label: str = "label", train: float = 0.8, valid: float = 0.1) -> DataFrame:
+    """``stratified_split``, or ``random_split`` where there is one label only or a label has one row."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n")).agg(F.count("*").alias("labels"), F.min("n").alias("least")).first()
+    if sizes["labels"] < 2 or sizes["least"] < 2:
+        return random_split(df, seed, keys, train, valid)
+    return stratified_split(df, seed, keys, label, train, valid)
+
+
+def size_matched(a: DataFrame, b: DataFrame, seed, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both tables cut, by hash, to the rows of the smaller one."""
+    n = min(a.count(), b.count())
+    return take(a, n, seed, keys), take(b, n, seed, keys)
 
 
 def stratified_split(df: DataFrame, seed, keys: list[str], label: str = "label", train: float = 0.8, valid: float = 0.1) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import char_ngrams, record_text
-from ..operators import blocking, metrics, pairs, sampling, scoring, tfidf
+from ..operators import blocking, encode, metrics, pairs, sampling, scoring, tfidf, vectors
 from ..sources.readers import Dataset, load_dataset, read_csv, read_pairs
 from ..sources.writers import write_csv, write_json, write_pairs, write_report
 from .gold import build_gold
@@ -30,7 +30,19 @@ def _ngram(records: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     return blocking.shared_key_topk(records, char_ngrams(F.col("text"), 3), k).join(anchors.select(F.col("id").alias("i")), "i", "left_semi")
 
 
-STRATEGIES = {"tfidf": _tfidf, "ngram": _ngram}
+def _dense(records: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
+    v = encode.hashed_tfidf(records)
+    return vectors.dense_topk(v, k, anchors=v.join(anchors.select("id"), "id", "left_semi"))
+
+
+def _ann(records: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
+    v = encode.hashed_tfidf(records).persist()
+    cells = max(1, min(4096, int(v.count() ** 0.5)))
+    centroids = vectors.kmeans_centroids(v, cells, 64 * cells)
+    return vectors.cell_topk(v, k, centroids, max(1, cells // 4), anchors=v.join(anchors.select("id"), "id", "left_semi"))
+
+
+STRATEGIES = {"tfidf": _tfidf, "ngram": _ngram, "dense": _dense, "ann": _ann}
 
 
 def candidates(strategy: str, records: DataFrame, anchors: DataFrame, k: int) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import analysis, blocking, metrics, pairs, sampling, scoring, tfidf, vectors
-from . import gold
+from . import builders, gold
 
 SEED = 7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -440,3 +440,149 @@ def mask_importance(spark, sf):
 def ann_trained_topk(spark, sf):
     v = _vectors(spark, sf)
     return vectors.cell_topk(v, 5, vectors.kmeans_centroids(v, 16, 20_000), probes=12).select("i", "j", "rank")
+
+
+CUST = " || ' ' || ".join(f"'COL {c} VAL ' || " + NORM.format(c) for c in ("c_name", "c_mktsegment"))
+
+
+@query(f"SELECT c_custkey, {CUST} AS record_text FROM customer")
+def record_text_except(spark, sf):
+    t = _t(spark, sf, "customer")
+    return t.select("c_custkey", tx.record_text_except(t.columns, ["C_CUSTKEY", "c_nationkey", "c_acctbal"]).alias("record_text"))
+
+
+@query(f"""WITH {L}, m AS (SELECT least(count(*) FILTER (label = 1), 50) AS p FROM l), r AS (SELECT i, j, label, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM l)
+  SELECT i, j, label FROM r, m WHERE (label = 1 AND k <= p) OR (label = 0 AND k <= trunc(p * 0.8 / 0.2))""")
+def capped_resample(spark, sf):
+    return sampling.capped_resample(_labelled(spark, sf), 0.2, 100, SEED, ["i", "j"])
+
+
+@query(f"""WITH {L}, r AS (SELECT i, j, label, row_number() OVER (ORDER BY {H}, i, j) AS k, count(*) OVER () AS n FROM l), q AS (SELECT *, greatest(1, floor(n * CAST(0.6 AS DOUBLE))) AS a, greatest(1, floor(n * CAST(0.2 AS DOUBLE))) AS b FROM r)
+  SELECT i, j, label, CASE WHEN k <= a THEN 'train' WHEN k <= a + b THEN 'valid' ELSE 'test' END AS split FROM q""")
+def random_split_least(spark, sf):
+    return sampling.random_split(_labelled(spark, sf), SEED, ["i", "j"], 0.6, 0.2, least=1)
+
+
+@query(f"{STRAT} SELECT i, j, split, CAST(row_number() OVER (PARTITION BY split ORDER BY {H}, i, j) AS INTEGER) AS place FROM sp")
+def shuffled_within_split(spark, sf):
+    return sampling.with_rank(stratified_split(spark, sf), SEED, ["i", "j"], ["split"], "place").select("i", "j", "split", F.col("place").cast("int").alias("place"))
+
+
+@query("""WITH z AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1), e AS (SELECT min(n) AS lo, max(n) AS hi FROM z)
+  SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(50, floor((n - lo) / ((hi - lo) / 50)) + 1) END AS INTEGER) AS bin, count(*) AS n FROM z, e GROUP BY 1""")
+def cluster_size_histogram(spark, sf):
+    return metrics.histogram(_t(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("size")), "size", 50, [])
+
+
+@query("SELECT count(DISTINCT p_partkey) AS n_ids, count(DISTINCT p_name) AS n_names, count(DISTINCT p_brand) AS n_clusters FROM part")
+def pool_sizes(spark, sf):
+    return _t(spark, sf, "part").agg(F.countDistinct("p_partkey").alias("n_ids"), F.countDistinct("p_name").alias("n_names"), F.countDistinct("p_brand").alias("n_clusters"))
+
+
+@query("SELECT p_name AS text FROM part UNION SELECT p_type FROM part ORDER BY 1")
+def unique_texts(spark, sf):
+    t = _t(spark, sf, "part")
+    return t.select(F.col("p_name").alias("text")).union(t.select("p_type")).distinct().orderBy("text")
+
+
+@query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
+def id_difference(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id").exceptAll(_t(spark, sf, "labels").select("doc_id")).distinct()
+
+
+@query(f"""{TWO}, n AS (SELECT least((SELECT count(*) FROM a), (SELECT count(*) FROM b)) AS n), x AS (SELECT 'tokens' AS source, i, j FROM a UNION ALL SELECT 'ngrams', i, j FROM b),
+  r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {H}, i, j) AS k FROM x) SELECT source, i, j FROM r, n WHERE k <= n""")
+def size_matched_sample(spark, sf):
+    a, b = sampling.size_matched(*(pairs.unordered(x) for x in _two_sets(spark, sf)), SEED, ["i", "j"])
+    return a.select(F.lit("tokens").alias("source"), "i", "j").unionByName(b.select(F.lit("ngrams").alias("source"), "i", "j"))
+
+
+@query(f"""WITH {P}, o AS (SELECT i, j, CASE WHEN label = 1 AND pred = 1 THEN 'TP' WHEN pred = 1 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END AS source FROM p)
+  SELECT source, i, j FROM o WHERE source <> 'TN' QUALIFY row_number() OVER (PARTITION BY source ORDER BY {H}, i, j) = 1""")
+def one_per_outcome(spark, sf):
+    return analysis.casebook(_scored(spark, sf), 1, SEED).filter("source <> 'TN'").select("source", "i", "j")
+
+
+def _strat(source: str) -> str:
+    """CTEs that split the table ``source`` (i, j, label) as ``stratified_split`` does, into ``sp``."""
+    return f"""r AS (SELECT i, j, label, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k, count(*) OVER (PARTITION BY label) AS n FROM {source}),
+  q AS (SELECT *, greatest(1, floor(n * CAST(0.8 AS DOUBLE))) AS a, floor(n * CAST(0.1 AS DOUBLE)) AS b FROM r),
+  sp AS (SELECT i, j, label, CASE WHEN k <= a THEN 'train' WHEN k <= a + b THEN 'valid' ELSE 'test' END AS split FROM q)"""
+
+
+@query(f"""WITH {V}, g AS (SELECT * FROM v WHERE id % 2 = 0), {S.replace('FROM v a JOIN v b', 'FROM g a JOIN v b')}, d AS (SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s QUALIFY rank <= 5),
+  tr AS (SELECT id AS a, id + 2 AS b FROM v WHERE id % 2 = 0), l AS (SELECT i, j, CAST(tr.a IS NOT NULL AS INTEGER) AS label FROM d LEFT JOIN tr ON least(i, j) = a AND greatest(i, j) = b), {_strat('l')} SELECT * FROM sp""")
+def pool_truth_pairs(spark, sf):
+    """Even rows ask the whole pool; the truth links each even id with the next."""
+    v = _vectors(spark, sf)
+    even = v.filter("id % 2 = 0").select("id")
+    return builders.pool_pairs(v.select("id"), even.select(F.col("id").alias("i"), (F.col("id") + 2).alias("j")), even, 5, SEED, lambda _: v)
+
+
+@query(f"""WITH {V}, {S}, d AS (SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s QUALIFY rank <= 5),
+  l AS (SELECT i, j, CAST(i // 2 = j // 2 AND i <> j AS INTEGER) AS label FROM d), {_strat('l')} SELECT * FROM sp""")
+def two_table_pairs(spark, sf):
+    """Rows of even and odd ids as two tables whose rows match by half their id."""
+    v = _vectors(spark, sf).filter("id is not null")
+    half = v.select(F.floor(F.col("id") / 2).cast("long").alias("id"), F.lit("").alias("text"), (F.col("id") % 2).alias("side"))
+    a, b = half.filter("side = 0").drop("side"), half.filter("side = 1").drop("side")
+    truth = a.join(b.select("id"), "id").select(F.col("id").alias("a"), F.col("id").alias("b"))
+    return builders.two_table_pairs(a, b, truth, 5, SEED, lambda _: v)[0]
+
+
+@query(f"""WITH {V}, ok AS ({ORACLES['exclude_test_clusters']}), ask AS (SELECT vec_id AS id FROM ok ORDER BY md5(concat_ws('|', '7', CAST(vec_id AS VARCHAR))), vec_id LIMIT 5),
+  s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score, CAST(a.cluster = b.cluster AS INTEGER) AS is_match FROM v a JOIN ask ON a.id = ask.id JOIN v b ON a.id <> b.id),
+  m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, j) <= 30),
+  c AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY i, is_match ORDER BY score DESC, j) <= CASE WHEN is_match = 1 THEN 3 ELSE 7 END THEN 1 ELSE 0 END AS chosen FROM m),
+  f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY i ORDER BY chosen DESC, score DESC, j) <= 10)
+  SELECT i, j, is_match, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM f""")
+def quota_queries(spark, sf):
+    v = _vectors(spark, sf)
+    test = cluster_split(spark, sf).filter("split = 'test'").select("i", "j")
+    return builders.quota_queries(_clusters(spark, sf), test, 5, 10, SEED, encoder=lambda _: v).select("i", "j", "is_match", "rank")
+
+
+@query(f"""WITH {V}, z AS (SELECT cluster, count(*) AS n FROM v GROUP BY 1), bb AS (SELECT cluster, ntile(5) OVER (ORDER BY n, cluster) AS bin FROM z),
+  ch AS (SELECT cluster FROM (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY md5(concat_ws('|', '7', CAST(cluster AS VARCHAR))), cluster) AS k FROM bb) WHERE k <= 2),
+  fi AS (SELECT v.* FROM v JOIN ch USING (cluster) QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY {ANCHOR.replace('id', 'v.id')}, v.id) = 1),
+  {S.replace('FROM v a JOIN v b', 'FROM fi a JOIN v b')}, d AS (SELECT i, j FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, j) <= 10),
+  l AS (SELECT i, j, CAST(x.cluster = y.cluster AND x.cluster <> 0 AS INTEGER) AS label FROM d JOIN v x ON x.id = i JOIN v y ON y.id = j), {_strat('l')} SELECT * FROM sp""")
+def diverse_pairs(spark, sf):
+    v = _vectors(spark, sf)
+    return builders.diverse_pairs(_clusters(spark, sf), 10, 5, 10, SEED, lambda _: v)
+
+
+BRAND = "br AS (SELECT p_partkey AS id, p_brand AS cluster FROM part)"
+
+
+@query(f"""{TWO}, {BRAND}, u AS (SELECT * FROM a UNION SELECT * FROM b), h AS (SELECT i, j, CAST(x.cluster = y.cluster AND x.cluster <> '' AS INTEGER) AS label FROM u JOIN br x ON x.id = i JOIN br y ON y.id = j),
+  np AS (SELECT count(*) AS p FROM h WHERE label = 1), rk AS (SELECT i, j, label, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM h), l AS (SELECT i, j, label FROM rk, np WHERE label = 1 OR k <= round_even(p * 0.8 / 0.2, 0)), {_strat('l')} SELECT * FROM sp""")
+def hybrid_dataset(spark, sf):
+    brands = _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("cluster"))
+    labelled = pairs.label_by_cluster(hybrid_union(spark, sf), brands, "equal_nonempty")
+    return sampling.stratified_split(sampling.ratio_resample(labelled, 0.2, SEED, ["i", "j"]), SEED, ["i", "j"])
+
+
+@query()
+def encoded_topk(spark, sf):
+    """Nearest distinct part names by hashed TF-IDF vectors."""
+    records = _names(spark, sf).select(F.col("id").cast("long").alias("id"), F.col("name").alias("text"))
+    return vectors.dense_topk(builders.encode.hashed_tfidf(records), 5).select("i", "j", "rank")
+
+
+@query()
+def top_words(spark, sf):
+    """The three words of each text with the largest weights in size."""
+    rank = F.row_number().over(Window.partitionBy("idx").orderBy(F.abs("weight").desc(), "word_pos")).cast("int")
+    return mask_importance(spark, sf).withColumn("rank", rank).filter("rank <= 3")
+
+
+@query()
+def blocking_comparison(spark, sf):
+    """Test metrics of classifiers trained on n-gram, token and random pairs of distinct part names."""
+    records = _names(spark, sf).select(F.col("id").cast("long").alias("id"), F.col("name").alias("text"), F.element_at(F.split("name", " "), -1).alias("cluster"))
+    made = lambda found: scoring.pair_features(pairs.lookup_texts(pairs.label_by_cluster(found, records.select("id", "cluster"), "equal_nonempty"), records.select("id", "text")))
+    near = made(ngram_topk(spark, sf).select("i", "j"))
+    parts = sampling.guarded_split(near, SEED, ["i", "j"]).persist()
+    sets = {"ngrams": parts.filter("split = 'train'"), "tokens": made(token_block_pairs(spark, sf)), "random": made(sampling.naive_pairs(records, 500, SEED, "id"))}
+    return builders.compare(sets, parts.filter("split = 'valid'"), parts.filter("split = 'test'"), ["f_words", "f_grams", "f_edit", "f_length"])

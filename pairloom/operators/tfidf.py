@@ -1,22 +1,34 @@
-"""TF-IDF weights in long form and cosine top-k by an equi-join on terms."""
+"""TF-IDF weights in long form and cosine top-k over tiles of postings."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
+from .vectors import select_top, table
+
+BLOCK = 2048
+_PACKED = "block long, ids binary, terms array<string>, starts binary, docs binary, weights binary"
+
+
+def spread(df: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
+    """``df`` dealt over all cores if Catalyst knows it as small: such a table may lie in a single row group, one task."""
+    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, term, tf of words of two characters or more."""
-    words = docs.select(F.col(id_col).cast("long").alias("id"), F.explode(word_tokens(F.col(text_col), 2, distinct=False)).alias("term"))
+    words = spread(docs.select(id_col, text_col)).select(F.col(id_col).cast("long").alias("id"), F.explode(word_tokens(F.col(text_col), 2, distinct=False)).alias("term"))
     return words.groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
 def vocabulary(counts: DataFrame, n_docs: int, min_df: int = 2, max_df: float = 0.95, max_features: int | None = None) -> DataFrame:
     """term, idf of the terms kept: document frequency in bounds, then the ``max_features`` most frequent."""
     terms = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
+    terms = terms.filter("total >= df")  # always so; it keeps tf in the plan, whose exchange then serves the weights as well
     if max_features:
         terms = terms.orderBy(F.col("total").desc(), "term").limit(max_features)
     return terms.select("term", (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
@@ -25,16 +37,65 @@ def vocabulary(counts: DataFrame, n_docs: int, min_df: int = 2, max_df: float =
 def weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """id, term, weight: sublinear tf times idf, rows of length one."""
     raw = counts.join(vocab, "term").select("id", "term", ((F.log(F.col("tf").cast("double")) + 1.0) * F.col("idf")).alias("w"))
-    length = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    return raw.join(length, "id").select("id", "term", (F.col("w") / F.col("length")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
+    return raw.select("id", "term", (F.col("w") / length).alias("weight"))
+
+
+def _pack(rows: pa.Table) -> pa.Table:
+    """One row: a block's postings, by term."""
+    import numpy as np
+
+    ids, local = np.unique(rows.column("id").to_numpy(), return_inverse=True)
+    coded = rows.column("term").combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    starts = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+    whole = lambda x, t: pa.array([x.astype(t).tobytes()], pa.binary())
+    terms = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string()))
+    cols = [rows.column("block").combine_chunks()[:1], whole(ids, "<i8"), terms, whole(starts, "<i8"), whole(local[order], "<i4"), whole(rows.column("weight").to_numpy()[order], "<f8")]
+    return pa.Table.from_arrays(cols, ["block", "ids", "terms", "starts", "docs", "weights"])
+
+
+def _tile(k: int, exclude_self: bool):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        out = [[], [], []]
+        if not left.num_rows or not right.num_rows:
+            return table(out)
+        read = lambda t, c, kind: np.frombuffer(t.column(c)[0].as_buffer(), kind)
+        (qids, ls, ld, lw), (ids, rs, rd, rw) = ((read(t, "ids", "<i8"), read(t, "starts", "<i8"), read(t, "docs", "<i4"), read(t, "weights", "<f8")) for t in (left, right))
+        score = np.zeros((len(qids), len(ids)))
+        at = pc.fill_null(pc.index_in(right.column("terms")[0].values, value_set=left.column("terms")[0].values), -1).to_numpy(zero_copy_only=False)
+        for r in np.flatnonzero(at >= 0).tolist():
+            a, b = slice(ls[at[r]], ls[at[r] + 1]), slice(rs[r], rs[r + 1])
+            score[ld[a, None], rd[b]] += lw[a, None] * rw[b]
+        for s in range(0, len(qids), 512):
+            part = score[s : s + 512]
+            part = np.where(part > 0, np.round(part, 6), -np.inf)  # weights are positive: 0 is no shared term
+            if exclude_self:
+                part[qids[s : s + 512, None] == ids] = -np.inf
+            for x, y in zip(out, select_top(part, qids[s : s + 512], ids, k), strict=True):
+                x.append(y)
+        return table(out)
+
+    return run
+
 
+def topk(left: DataFrame, right: DataFrame, k: int, exclude_self: bool = False, sizes: tuple[int, int] | None = None, block: int = BLOCK) -> DataFrame:
+    """i, j, score, rank: for each row of ``left`` its ``k`` nearest rows of ``right``; only pairs that share a term.
 
-def topk(left: DataFrame, right: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
-    """i, j, score, rank: for each row of ``left`` its ``k`` nearest rows of ``right``; only pairs that share a term."""
-    a, b = left.select(F.col("id").alias("i"), "term", F.col("weight").alias("wa")), right.select(F.col("id").alias("j"), "term", F.col("weight").alias("wb"))
-    pairs = a.join(b, "term")
-    if exclude_self:
-        pairs = pairs.filter("i <> j")
-    scored = pairs.groupBy("i", "j").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("score"))
+    Rows are dealt by a hash to blocks of about ``block`` and a block's postings are packed by term. Blocks meet as
+    tiles, one group of bounded size each, where a term adds the products of its two postings; every tile sends k rows
+    a document on, so a frequent term costs neither shuffle nor skew. ``sizes`` are the documents of both sides, counted
+    here if not given. Scores have 6 places; ties go to the smaller id.
+    """
+    n = sizes or tuple(d.select("id").distinct().count() for d in (left, right))
+    parts = [max(1, -(-x // block)) for x in n]
+    pack = lambda d, p: d.select(F.pmod(F.xxhash64("id"), F.lit(p)).alias("block"), F.col("id").cast("long").alias("id"), "term", "weight").groupBy("block").applyInArrow(_pack, _PACKED)
+    every = lambda p: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(p - 1).cast("long"))).alias("other")
+    a, b = pack(left, parts[0]).select("*", every(parts[1])), pack(right, parts[1]).select("*", every(parts[0]))
+    found = a.groupBy("block", "other").cogroup(b.groupBy("other", "block")).applyInArrow(_tile(k, exclude_self), "i long, j long, score double")
     rank = F.row_number().over(Window.partitionBy("i").orderBy(F.col("score").desc(), "j"))
-    return scored.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
+    return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)

@@ -34,6 +34,20 @@ def _blocks(rows: int):
     return run
 
 
+def select_top(score, qids, ids, k: int):
+    """(i, j, score) of the ``k`` best columns of each row of ``score``; -inf is no candidate, ties go to the smaller id."""
+    import numpy as np
+
+    n = min(k, len(ids))
+    edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
+    r, col = np.nonzero((score >= edge[:, None]) & (score > -np.inf))  # with all ties at the edge
+    order = np.lexsort((ids[col], -score[r, col], r))
+    r, col = r[order], col[order]
+    keep = np.arange(len(r)) - np.searchsorted(r, r) < k
+    r, col = r[keep], col[keep]
+    return qids[r], ids[col], score[r, col]
+
+
 def _best(q, qids, m, ids, k: int, exclude_self: bool):
     """(i, j, score) of the ``k`` best columns of each row of the unit matrices' product; ties to the smaller id."""
     import numpy as np
@@ -43,19 +57,12 @@ def _best(q, qids, m, ids, k: int, exclude_self: bool):
         score = np.round(q[s : s + 512] @ m.T, 6)
         if exclude_self:
             score[qids[s : s + 512, None] == ids] = -np.inf
-        n = min(k, len(ids))
-        edge = -np.partition(-score, n - 1, axis=1)[:, n - 1]
-        r, col = np.nonzero((score >= edge[:, None]) & (score > -np.inf))  # with all ties at the edge
-        order = np.lexsort((ids[col], -score[r, col], r))
-        r, col = r[order], col[order]
-        keep = np.arange(len(r)) - np.searchsorted(r, r) < k
-        r, col = r[keep], col[keep]
-        for x, y in zip(out, (qids[s + r], ids[col], score[r, col]), strict=True):
+        for x, y in zip(out, select_top(score, qids[s : s + 512], ids, k), strict=True):
             x.append(y)
     return out
 
 
-def _table(parts) -> pa.Table:
+def table(parts) -> pa.Table:
     import numpy as np
 
     cols = [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in zip(parts, ("i8", "i8", "f8"), strict=True)]
@@ -73,7 +80,7 @@ def _tile(k: int, exclude_self: bool):
                 qids, q = np.frombuffer(a["ids"], "<i8"), np.frombuffer(a["unit"]).reshape(-1, c["dim"])
                 for x, y in zip(out, _best(q, qids, m, ids, k, exclude_self), strict=True):
                     x += y
-        return _table(out)
+        return table(out)
 
     return run
 
@@ -88,8 +95,8 @@ def _cell(k: int):
             return m / (np.sqrt((m * m).sum(1, keepdims=True)) + 1e-8)
 
         if not left.num_rows or not right.num_rows:
-            return _table([[], [], []])
-        return _table(_best(unit(right), right.column("i").to_numpy(), unit(left), left.column("id").to_numpy(), k, True))
+            return table([[], [], []])
+        return table(_best(unit(right), right.column("i").to_numpy(), unit(left), left.column("id").to_numpy(), k, True))
 
     return run
 

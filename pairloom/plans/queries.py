@@ -203,15 +203,17 @@ PAIRS = ", sc AS (SELECT a.id AS i, b.id AS j, round(sum(a.weight * b.weight), 6
 
 @query(f"WITH docs AS (SELECT doc_id AS id, text FROM documents), {_tfidf_sql(PAIRS.format(on='a.id <> b.id'))} SELECT i, j, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM sc QUALIFY rank <= 5")
 def tfidf_topk_self(spark, sf):
-    w = _weights(_docs(spark, sf))
-    return tfidf.topk(w, w, 5, exclude_self=True).select("i", "j", "rank")
+    docs = _docs(spark, sf)
+    w, n = _weights(docs), docs.count()
+    return tfidf.topk(w, w, 5, exclude_self=True, sizes=(n, n)).select("i", "j", "rank")
 
 
 @query(f"WITH docs AS (SELECT doc_id AS id, text FROM documents UNION ALL SELECT -1 - item_id, text FROM benchmark), {_tfidf_sql(PAIRS.format(on='a.id < 0 AND b.id >= 0'))} SELECT -1 - i AS item_id, j AS doc_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM sc QUALIFY rank <= 3")
 def tfidf_topk_predict(spark, sf):
     asked = _t(spark, sf, "benchmark").select((-1 - F.col("item_id")).alias("id"), "text")
-    w = _weights(_docs(spark, sf).unionByName(asked))
-    return tfidf.topk(w.filter("id < 0"), w.filter("id >= 0"), 3).select((-1 - F.col("i")).alias("item_id"), F.col("j").alias("doc_id"), "rank")
+    docs = _docs(spark, sf)
+    w = _weights(docs.unionByName(asked))
+    return tfidf.topk(w.filter("id < 0"), w.filter("id >= 0"), 3, sizes=(asked.count(), docs.count())).select((-1 - F.col("i")).alias("item_id"), F.col("j").alias("doc_id"), "rank")
 
 
 def _two_sets(spark, sf):

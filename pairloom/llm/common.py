@@ -30,11 +30,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcastable(df: DataFrame, max_bytes: int = 64 << 20) -> bool:
-    """Whether Catalyst's size estimate of ``df`` proves it small enough to broadcast."""
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() <= max_bytes
-
-
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Default place of a public vocabulary file; every operator takes the path as a parameter."""
     import public_tokenizers

@@ -23,7 +23,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class."""
+    """One document of each class by SimHash, or by five-word shingles of similarity 0.8 or more."""
     return simhash.drop_near(docs)
 
 

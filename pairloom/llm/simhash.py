@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, slices
 from .components import connected_components
+from .shingle_links import similar_classes
 
 _TILE = 8192
 
@@ -199,7 +200,17 @@ def near_dedup(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str =
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, one of each near-duplicate class: that with the smallest id (ids must be unique)."""
-    gone = near_dedup(docs, radius, shingle, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
+def drop_near(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: float = 0.8, similarity_shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, one of each near-duplicate class: that with the smallest id.
+
+    Two texts link if their fingerprints differ in ``radius`` or fewer bits, or if their sets of ``similarity_shingle``
+    words have a Jaccard similarity of ``similarity`` or more (see ``shingle_links``). Ids must be unique; rows whose id
+    is null stay. Null texts are empty and link with each other.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    marked = materialise(fingerprints(rows, shingle).filter("doc_id is not null"))
+    vertices = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("v")))
+    copies = marked.join(vertices, "fp").filter("doc_id <> v").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
+    classes = similar_classes(rows, copies.union(links(vertices, radius)), similarity_shingle, similarity)
+    gone = classes.filter("v <> label").select(F.col("v").alias("_gone_id"))
     return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone_id"), "left_anti")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.llm import components, exact_dedup, mixing, packing, quality, simhash, substring_dedup, suffix_array, token_counts, topk, toxicity, warc
+from pairloom.llm import components, exact_dedup, mixing, packing, quality, shingle_links, simhash, substring_dedup, suffix_array, token_counts, topk, toxicity, warc
 from pairloom.llm.common import load_tokenizer, tokenizer_file
 
 SPACES = re.compile(r"[\x20\x09-\x0D]")
@@ -161,6 +161,57 @@ def test_simhash_links_with_large_buckets(spark, tile, blocks):
     assert all(label.get(i, i) == root[i] for i in range(len(fps)))
 
 
+def near_texts():
+    """Copies edited around a similarity of 0.8, many of one text, and texts that share half of their words."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    bases, out = [[word() for _ in range(rng.randint(3, 160))] for _ in range(12)], {}
+    for i in range(160):
+        t = list(bases[0] if i % 2 else rng.choice(bases))
+        for _ in range(rng.randint(0, max(1, len(t) // 40))):
+            t[rng.randrange(len(t))] = word()
+        out[i] = " ".join(t)
+    half = [word() for _ in range(90)]
+    out |= {300 + i: " ".join(half + [word() for _ in range(40)]) for i in range(30)}
+    return out | {400: None, 401: "", 402: " \n", 403: out[1].upper(), 404: "one", 405: "one two"}
+
+
+@pytest.mark.parametrize("tile", [16, 512])
+def test_similar_classes(spark, tile):
+    raw = near_texts()
+    sets = {}
+    for k, x in raw.items():
+        w = utf8(x).lower().split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    root = classes(sorted(raw), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    assert 20 < len(set(root.values())) < len(raw) - 20
+    rows = spark.createDataFrame([*raw.items(), (None, raw[1])], "doc_id long, text string")
+    none = spark.createDataFrame([], "a long, b long")
+    label = {r["v"]: r["label"] for r in shingle_links.similar_classes(rows, none, tile=tile).collect()}
+    assert {k: label.get(k, k) for k in raw} == root
+    chained = shingle_links.similar_classes(rows, spark.createDataFrame([(404, 405)], "a long, b long"), tile=tile)
+    assert (405, 404) in set(map(tuple, chained.collect()))
+
+
+def test_search_across_classes_of_a_bucket():
+    import pyarrow as pa
+
+    grams = [list(range(10)), list(range(9)), list(range(100, 110)), list(range(1, 10)), list(range(101, 111))]
+    table = pa.table({"t": [0] * 5, "key": [0] * 5, "g": [0] * 5, "h": [0] * 5, "v": range(5), "root": range(5), "tile": [0] * 5, "grams": pa.array(grams, pa.list_(pa.int32()))})
+    found = shingle_links._across(0.8)(table).to_pydict()
+    assert list(zip(found["a"], found["b"], strict=True)) == [(1, 0), (3, 0), (4, 2)]
+
+
+def test_drop_near_keeps_one_of_each_class(spark):
+    raw = near_texts()
+    rows = spark.createDataFrame([(k, v, 1, 2, 3) for k, v in raw.items()] + [(None, raw[1], 1, 2, 3)], "doc_id long, text string, v int, grams int, label int")
+    kept = simhash.drop_near(rows)
+    ids = [r["doc_id"] for r in kept.collect()]
+    linked = simhash.near_dedup(rows).filter("doc_id is not null").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")).filter("a <> b")
+    label = {r["v"]: r["label"] for r in shingle_links.similar_classes(rows, linked).collect()}
+    assert kept.columns == rows.columns and sorted(ids, key=lambda k: (k is None, k or 0)) == [k for k in sorted(raw) if label.get(k, k) == k] + [None]
+
+
 def test_components_of_a_long_chain(spark):
     label = components.connected_components(spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
     assert {r["label"] for r in label.collect()} == {0} and label.count() == 201

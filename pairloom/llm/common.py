@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -30,6 +31,20 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame, id_col: str) -> tuple[DataFrame, str | None]:
+    """(``docs``, a long column that tells its rows apart, or None where the ids themselves do).
+
+    If ids (nulls too) repeat, the rows are written once to the shared scratch folder with a number each; the column's
+    name is one that ``docs`` does not have.
+    """
+    if docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return docs, None
+    row = "_row"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """Default place of a public vocabulary file; every operator takes the path as a parameter."""
     import public_tokenizers

@@ -17,17 +17,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import located, materialise
 
 _SHARD_KEYS = 20_000
 _PER_BUCKET = 4
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_points (code points of the whole text), digest (SHA-256 of the text without ASCII white space), row."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """doc_id, n_points (code points of the whole text), digest (SHA-256 of the text without ASCII white space), row (``row_col``, or numbered here)."""
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = F.translate(text, " \t\n\x0b\x0c\r", "")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(text).alias("n_points"), F.unhex(F.sha2(bare, 256)).alias("digest"), F.monotonically_increasing_id().alias("row"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(text).alias("n_points"), F.unhex(F.sha2(bare, 256)).alias("digest"), row.alias("row"))
 
 
 def winners(rows: DataFrame) -> DataFrame:
@@ -145,18 +146,25 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, id_col: str =
     ignored whatever their names; empty tables give no rows.
     """
     rows = materialise(digests(docs, id_col, text_col))
-    past = rows if history is None else digests(history, id_col, text_col)
-    index, buckets = build_index(winners(past))
+    past = None if history is None else digests(history, id_col, text_col)
+    return _decided(rows, past).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def _decided(rows: DataFrame, past: DataFrame | None = None) -> DataFrame:
+    """doc_id, digest, row, keep_id, keep_row, group_size, kept of stored ``digests``."""
+    index, buckets = build_index(winners(rows if past is None else past))
     found = look_up(rows, index, buckets)
-    own = F.lit(history is None)
+    own = F.lit(past is None)
     members = found.filter("group_size is not null").withColumn("kept", own & (F.col("row") == F.col("keep_row")))
     rest = found.filter("group_size is null").select("doc_id", "n_points", "digest", "row")
     alone = rest.join(winners(rest), "digest").withColumn("kept", F.col("row") == F.col("keep_row"))
-    out = members.unionByName(alone)
-    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    return members.unionByName(alone)
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, without the repeats that ``exact_dedup`` finds (ids must be unique)."""
-    kept = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``docs``, all columns, without the repeats that ``exact_dedup`` finds: one row of each group, whatever its id."""
+    docs, row = located(docs, id_col)
+    kept = _decided(materialise(digests(docs, id_col, text_col, row))).filter("kept")
+    if row:
+        return docs.join(kept.select(F.col("row").alias(row)), row, "left_semi").drop(row)
+    return docs.join(kept.select(F.col("doc_id").alias("_kept_id")), F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import located, materialise, slices
 from .components import connected_components
 from .shingle_links import similar_classes
 
@@ -204,13 +204,21 @@ def drop_near(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: fl
     """The rows of ``docs``, all columns, one of each near-duplicate class: that with the smallest id.
 
     Two texts link if their fingerprints differ in ``radius`` or fewer bits, or if their sets of ``similarity_shingle``
-    words have a Jaccard similarity of ``similarity`` or more (see ``shingle_links``). Ids must be unique; rows whose id
-    is null stay. Null texts are empty and link with each other.
+    words have a Jaccard similarity of ``similarity`` or more (see ``shingle_links``). Rows that repeat an id are
+    judged each by its own text, and one row stays of those that share the smallest id; rows whose id is null stay. Null
+    texts are empty and link with each other.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    marked = materialise(fingerprints(rows, shingle).filter("doc_id is not null"))
+    docs, row = located(docs, id_col)
+    named = docs.filter(F.col(id_col).cast("long").isNotNull())
+    rows = named.select(F.col(row or id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    marked = materialise(fingerprints(rows, shingle))
     vertices = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("v")))
     copies = marked.join(vertices, "fp").filter("doc_id <> v").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
     classes = similar_classes(rows, copies.union(links(vertices, radius)), similarity_shingle, similarity)
+    if row:
+        ids = named.select(F.col(row).alias("v"), F.col(id_col).cast("long").alias("id"))
+        first = classes.join(ids, "v").groupBy("label").agg(F.min(F.struct("id", "v")).alias("first")).select("label", F.col("first.v").alias("stays"))
+        gone = classes.join(first, "label").filter("v <> stays").select(F.col("v").alias(row))
+        return docs.join(gone, row, "left_anti").drop(row)
     gone = classes.filter("v <> label").select(F.col("v").alias("_gone_id"))
     return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone_id"), "left_anti")

@@ -378,6 +378,23 @@ def test_null_ids_and_repeated_rows(spark):
         assert run(odd).count() == 5
 
 
+def test_drop_stages_tell_rows_apart(spark):
+    """Repeated rows, one id with two texts, null ids; ``_row`` is a name the stages use themselves."""
+    schema = "doc_id long, text string, _row int"
+    exact = [(5, "x", 0), (5, "x", 1), (6, "a b", 2), (6, "c", 3), (7, "ab", 4), (None, "n", 5), (None, "n ", 6), (None, "m", 7), (None, "m", 8), (None, "x", 9), (None, None, 10), (8, "", 11)]
+    got = exact_dedup.drop_exact(spark.createDataFrame(exact, schema).repartition(3))
+    assert got.columns == ["doc_id", "text", "_row"]
+    kept = [tuple(r) for r in got.collect()]
+    assert sorted(map(repr, (r[:2] for r in kept))) == sorted(map(repr, [(5, "x"), (6, "a b"), (6, "c"), (None, "n "), (None, "m"), (8, "")]))
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    near = [(3, words[0], 0), (5, words[0].upper(), 1), (5, words[1], 2), (9, words[1], 3), (9, words[2], 4), (9, words[2], 5), (2, words[2] + " z", 6), (None, words[0], 7), (None, words[0], 8)]
+    got = simhash.drop_near(spark.createDataFrame(near, schema).repartition(3))
+    assert got.columns == ["doc_id", "text", "_row"]
+    assert sorted(r["_row"] for r in got.collect()) == [0, 2, 6, 7, 8]
+    twice = simhash.drop_near(spark.createDataFrame([(1, "p q", 0), (1, "p q", 1)], schema))
+    assert twice.count() == 1
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -11,12 +11,11 @@ from .metrics import confusion
 
 
 def pair_features(pairs: DataFrame, text1: str = "text1", text2: str = "text2") -> DataFrame:
-    """``pairs`` with word and 3-gram Jaccard similarity, relative edit distance of the first 255 characters and length ratio."""
+    """``pairs`` with word and 3-gram Jaccard similarity, relative edit distance of the whole texts and length ratio."""
     a, b = F.coalesce(F.col(text1), F.lit("")), F.coalesce(F.col(text2), F.lit(""))
     jac = lambda x, y: F.when(F.size(F.array_union(x, y)) == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
     longest = F.greatest(F.length(a), F.length(b), F.lit(1))
-    head = lambda c: F.substring(c, 1, 255)
-    edit = 1 - F.levenshtein(head(a), head(b)) / F.least(longest, F.lit(255))
+    edit = 1 - F.levenshtein(a, b) / longest
     return pairs.withColumns({"f_words": jac(word_tokens(a), word_tokens(b)), "f_grams": jac(char_ngrams(a, 3), char_ngrams(b, 3)), "f_edit": edit, "f_length": F.least(F.length(a), F.length(b)) / longest})
 
 

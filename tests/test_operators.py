@@ -107,6 +107,12 @@ def test_metrics(spark):
     assert metrics.threshold_table(p, [0.4], strict=True).first()["recall"] == 0.5
 
 
+def test_edit_distance_of_whole_texts(spark):
+    head = "x" * 300
+    pairs_ = spark.createDataFrame([(head + "abc", head + "xyz"), ("abcd", "abcx"), ("", None)], "text1 string, text2 string")
+    assert [round(r["f_edit"], 6) for r in scoring.pair_features(pairs_).collect()] == [round(1 - 3 / 303, 6), 0.75, 1.0]
+
+
 def test_tfidf_and_edits(spark):
     docs = spark.createDataFrame([(1, "red dog"), (2, "red dog"), (3, "blue cat"), (4, "")], "id long, text string")
     counts = tfidf.term_counts(docs, "id", "text")

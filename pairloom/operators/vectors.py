@@ -142,6 +142,28 @@ def cell_topk(corpus: DataFrame, k: int, centroids: DataFrame, probes: int, anch
     return _top(found, k)
 
 
+def probes_for(corpus: DataFrame, k: int, centroids: DataFrame, anchors: DataFrame, recall: float = 0.9, sample: int = 500, seed: int = 7) -> tuple[int, float]:
+    """(the least probes with which ``cell_topk`` finds ``recall`` of the exact neighbours, the share it finds).
+
+    Measured by brute force for at most ``sample`` of ``anchors``: a neighbour is found if its cell is among the
+    anchor's nearest ``probes`` cells.
+    """
+    from .sampling import take
+
+    asked, cells = take(anchors.filter("vec is not null"), sample, seed, ["id"]).persist(), centroids.count()
+    near = dense_topk(corpus, k, asked).select("i", "j")
+    order = dense_topk(centroids, cells, asked, exclude_self=False).select("i", F.col("j").alias("cell"), F.col("rank").alias("nth"))
+    cell = dense_topk(centroids, 1, corpus, exclude_self=False).select(F.col("i").alias("_j"), F.col("j").alias("cell")).withColumnRenamed("_j", "j")
+    hits = near.join(cell, "j").join(order, ["i", "cell"]).groupBy("nth").agg(F.count("*").alias("n")).orderBy("nth").collect()  # a row a cell
+    asked.unpersist()
+    total, found = sum(r["n"] for r in hits), 0
+    for r in hits:
+        found += r["n"]
+        if found >= recall * total:
+            return r["nth"], found / total
+    return cells, 1.0
+
+
 def kmeans_centroids(corpus: DataFrame, cells: int, sample: int, seed: int = 7) -> DataFrame:
     """id, vec of ``cells`` centroids trained on at most ``sample`` rows."""
     from pyspark.ml.clustering import KMeans

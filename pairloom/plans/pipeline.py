@@ -39,7 +39,9 @@ def _ann(records: DataFrame, anchors: DataFrame, k: int) -> DataFrame:
     v = encode.hashed_tfidf(records).persist()
     cells = max(1, min(4096, int(v.count() ** 0.5)))
     centroids = vectors.kmeans_centroids(v, cells, 64 * cells)
-    return vectors.cell_topk(v, k, centroids, max(1, cells // 4), anchors=v.join(anchors.select("id"), "id", "left_semi"))
+    asking = v.join(anchors.select("id"), "id", "left_semi")
+    probes, _ = vectors.probes_for(v, k, centroids, asking)
+    return vectors.cell_topk(v, k, centroids, max(probes, cells // 4), anchors=asking)
 
 
 STRATEGIES = {"tfidf": _tfidf, "ngram": _ngram, "dense": _dense, "ann": _ann}

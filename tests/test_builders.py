@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from pairloom.operators import blocking, encode, pairs, sampling, vectors
@@ -111,6 +113,15 @@ def test_strategies(records, strategy):
         assert got == [(0, 1), (2, 3)]
 
 
+def test_ann_recall(spark, monkeypatch):
+    """Vectors with nearly uniform neighbours: a quarter of the cells does not find 0.9 of the exact ones."""
+    rng = random.Random(3)
+    v = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(400)], "id long, vec array<double>").persist()
+    monkeypatch.setattr(encode, "hashed_tfidf", lambda records: v)
+    exact, near = (set(rows(pipeline.candidates(s, v, v.select("id"), 5))) for s in ("dense", "ann"))
+    assert len(exact & near) >= 0.9 * len(exact)
+
+
 def test_record_text_except(spark):
     df = spark.createDataFrame([(1, "a", "b")], "Id long, name string, city string")
     assert df.select(tx.record_text_except(df.columns, ["id"]).alias("x")).first()["x"] == "COL name VAL a COL city VAL b"

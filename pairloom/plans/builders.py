@@ -76,12 +76,15 @@ def imported_pairs(rows: DataFrame, left: str = "ltable.", right: str = "rtable.
     return sampling.random_split(made, seed, ["_key"], 0.6, 0.2, least=1).drop("_key")
 
 
-def quota_queries(records: DataFrame, test: DataFrame, n: int, k: int, seed=7, pool: int = 30, encoder: Encoder = encode.hashed_tfidf) -> DataFrame:
-    """i, j, score, is_match, rank: quota retrieval for ``n`` random records of clusters that have no record in ``test`` (i, j)."""
+def quota_queries(records: DataFrame, test: DataFrame, n: int, k: int, seed=7, pool: int | None = None, encoder: Encoder = encode.hashed_tfidf) -> DataFrame:
+    """i, j, score, is_match, rank: quota retrieval for ``n`` random records of clusters that have no record in ``test`` (i, j).
+
+    The quotas are filled from the ``pool`` nearest: 10 * k, 5000 at least, if not given.
+    """
     allowed = pairs.exclude_clusters(records.select("id", "cluster"), test)
     asked = sampling.take(allowed, n, seed, ["id"])
     v = encoder(records)
-    near = vectors.dense_topk(v, pool, anchors=v.join(asked.select("id"), "id", "left_semi"))
+    near = vectors.dense_topk(v, pool or max(10 * k, 5000), anchors=v.join(asked.select("id"), "id", "left_semi"))
     return pairs.quota_topk(pairs.label_by_cluster(near, records.select("id", "cluster")).withColumnRenamed("label", "is_match"), k)
 
 

@@ -541,7 +541,7 @@ def two_table_pairs(spark, sf):
 def quota_queries(spark, sf):
     v = _vectors(spark, sf)
     test = cluster_split(spark, sf).filter("split = 'test'").select("i", "j")
-    return builders.quota_queries(_clusters(spark, sf), test, 5, 10, SEED, encoder=lambda _: v).select("i", "j", "is_match", "rank")
+    return builders.quota_queries(_clusters(spark, sf), test, 5, 10, SEED, pool=30, encoder=lambda _: v).select("i", "j", "is_match", "rank")
 
 
 @query(f"""WITH {V}, z AS (SELECT cluster, count(*) AS n FROM v GROUP BY 1), bb AS (SELECT cluster, ntile(5) OVER (ORDER BY n, cluster) AS bin FROM z),

@@ -87,6 +87,15 @@ def test_quota_and_diverse(spark):
     assert div.filter("label = 1 and i % 4 = 0").count() == 0
 
 
+def test_quota_of_distant_matches(spark):
+    """Row 0's matches come after its 30 nearest rows."""
+    rec = spark.createDataFrame([(i, "", 1 if i == 0 or i > 50 else 2) for i in range(60)], "id long, text string, cluster long")
+    v = rec.select("id", F.array(F.lit(1.0), F.col("id") / 100).alias("vec"))
+    got = builders.quota_queries(rec, spark.createDataFrame([(40, 41)], "i long, j long"), 20, 10, encoder=lambda _: v)
+    matches = {r["i"]: r["n"] for r in got.groupBy("i").agg(F.sum("is_match").alias("n")).collect()}
+    assert matches[0] == 3
+
+
 def test_guarded_split_and_sizes(spark):
     one = spark.createDataFrame([(i, i + 1, 0) for i in range(10)], "i long, j long, label int")
     assert rows(sampling.guarded_split(one, 7, ["i", "j"])) == rows(sampling.random_split(one, 7, ["i", "j"]))

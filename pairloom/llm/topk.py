@@ -5,7 +5,7 @@ each binary digit of (value - smallest value). A query's score is the weighted s
 once for every set digit of its weight, shifted by that digit (complemented for negative weights), and carry-save
 adders over whole bitmaps reduce the stacks to one bitmap for each digit of the score. The k largest rows are then
 selected from the most significant slice downward; rows that tie at the boundary are resolved by id. Every step is
-exact integer arithmetic.
+exact integer arithmetic, in Python's integers where a score may need more than 62 digits.
 
 Scale: the stated query set meets all rows in blocks. A task holds one index block and a bounded number of query
 chunks, and sends k rows for each of its queries on.
@@ -24,7 +24,7 @@ from .common import materialise
 _ROWS = 16_384
 _CHUNK = 256
 _CHUNKS = 32
-_LIMIT = float(1 << 30)
+_LIMIT = float(1 << 63)
 _INDEX = pa.schema([("dim", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("digits", pa.int32()), ("ids", pa.binary()), ("bits", pa.binary())])
 _QUERIES = pa.schema([("dim", pa.int32()), ("chunk", pa.int64()), ("qids", pa.binary()), ("q", pa.binary())])
 
@@ -32,12 +32,14 @@ _QUERIES = pa.schema([("dim", pa.int32()), ("chunk", pa.int64()), ("qids", pa.bi
 def quantise(vectors: DataFrame, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """vec_id, q (array of long): floor(scale * x) of the vectors that take part.
 
-    Left out: null ids, null vectors, vectors that hold null or non-finite components or one of 2**30 or more in
-    size after scaling (scores must fit a long).
+    Left out: null ids, null vectors and vectors that hold null or non-finite components. A component that does not fit
+    a long after scaling stops the job.
     """
-    x = F.transform(F.col(vec_col), lambda v: v.cast("double") * F.lit(float(scale)))
-    fine = F.forall("x", lambda v: F.coalesce((v > -_LIMIT) & (v < _LIMIT), F.lit(False)))  # NaN is larger than all
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x")).filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).filter(fine).select("vec_id", F.transform("x", lambda v: F.floor(v)).alias("q"))
+    x = F.transform(F.col(vec_col), lambda v: v.cast("double"))
+    fine = F.forall("x", lambda v: F.coalesce((v > float("-inf")) & (v < float("inf")), F.lit(False)))  # NaN is larger than all
+    scaled = lambda v: v * F.lit(float(scale))
+    whole = lambda v: F.when((scaled(v) >= -_LIMIT) & (scaled(v) < _LIMIT), F.floor(scaled(v))).otherwise(F.raise_error(F.lit("a scaled component does not fit a long")).cast("long"))
+    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x")).filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).filter(fine).select("vec_id", F.transform("x", whole).alias("q"))
 
 
 def _matrices(batch: pa.RecordBatch, rows: int):
@@ -98,9 +100,9 @@ def score_slices(index, weights):
     import numpy as np
 
     dim, digits, words = index.shape
-    size, columns = np.abs(weights), []
+    size, columns = np.abs(weights).astype(np.uint64), []
     for b in range(int(size.max()).bit_length() if dim else 0):
-        on = size >> b & 1 == 1
+        on = size >> np.uint64(b) & np.uint64(1) == 1
         up, down = index[on & (weights > 0)], index[on & (weights < 0)]
         for s in range(digits):
             while len(columns) <= b + s:
@@ -183,12 +185,18 @@ def _search(k: int):
                         for r in order[lo:hi].tolist():
                             valid[r >> 6] &= ~(np.uint64(1) << np.uint64(r & 63))
                     rows = top_rows(slices, valid, k, ids)
-                    score = np.zeros(len(rows), np.int64)
+                    mask = (1 << block["digits"]) - 1
+                    more = sum(w[w > 0].tolist()) * block["base"] + sum(w[w < 0].tolist()) * (mask + block["base"])
+                    kind = np.int64 if len(slices) < 63 and abs(more) < 1 << 62 else object
+                    score = np.zeros(len(rows), kind)
                     for s, bitmap in enumerate(slices):
                         if bitmap is not None:
-                            score += (bitmap[rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << s
-                    mask = (1 << block["digits"]) - 1
-                    score += int(w[w > 0].sum()) * block["base"] + int(w[w < 0].sum()) * (mask + block["base"])
+                            score += (bitmap[rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64).astype(kind) << s
+                    score += more
+                    if kind is object:
+                        if any(not -(1 << 63) <= x < 1 << 63 for x in score.tolist()):
+                            raise OverflowError("a score does not fit a long")
+                        score = score.astype(np.int64)
                     out[0].append(np.full(len(rows), qid))
                     out[1].append(ids[rows])
                     out[2].append(score)

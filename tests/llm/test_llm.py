@@ -268,6 +268,23 @@ def test_top_k(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_top_k_of_wide_vectors(spark):
+    """Components of 2**30 and more after scaling, exact to the last digit; what does not fit a long is an error."""
+    rng = random.Random(4)
+    data = [(i, [float(rng.randint(-(2**e), 2**e)) for e in (18, 18, 17, 3)]) for i in range(90)] + [(90, [2.0**23 + 1, 0.0, 0.0, 1.0]), (91, [1.0, -(2.0**28), 0.5, 0.25]), (100, [-1.0, 1.0, 1.0, 2.0]), (150, [2.0**23, -3.0, 1.0, 1.0])]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    q = {i: [int(np.floor(256.0 * x)) for x in v] for i, v in data}
+    want = []
+    for i in (0, 50, 100, 150):
+        best = sorted((-sum(a * b for a, b in zip(q[i], v, strict=True)), j) for j, v in q.items() if j != i)[:5]
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, topk.top_k(vectors, vectors.filter("vec_id % 50 = 0")).collect())) == sorted(want)
+    for far in ([2.0**40] * 4, [2.0**60] * 4):
+        wide = spark.createDataFrame([(1, far), (2, far)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(wide, wide).collect()
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + "x" * 200
     pages = spark.createDataFrame([(3, "http://a/ b", big), (1, None, big), (2, "u", None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "u", big), (7, "u", "é" * 60)], "page_id long, url string, html string")

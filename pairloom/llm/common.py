@@ -3,41 +3,24 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise, scratch_dir
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the setting is absent (tests, a single machine) the session gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="pairloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/pairloom-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and survives lost executors."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["binary_array", "binary_view", "load_ranks", "load_tokenizer", "located", "materialise", "scratch_dir", "slices", "tokenizer_file"]
 
 
 def located(docs: DataFrame, id_col: str) -> tuple[DataFrame, str | None]:
     """(``docs``, a long column that tells its rows apart, or None where the ids themselves do).
 
-    If ids (nulls too) repeat, the rows are written once to the shared scratch folder with a number each; the column's
+    If ids repeat or are null, the rows are written once to the shared scratch folder with a number each; the column's
     name is one that ``docs`` does not have.
     """
-    if docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+    if docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("n")).filter("n > 1 or id is null").isEmpty():
         return docs, None
     row = "_row"
     while row in map(str.lower, docs.columns):

@@ -7,7 +7,9 @@ marginal probability of being good, the marginals are averaged by line length, a
 part of the training sample that the field was not fitted on.
 
 Scale: the model is about a hundred weights. Scoring is one pass without an exchange over whole texts; features are
-computed over the bytes of a slice at once and the chains of a slice run side by side.
+computed over the bytes of a slice at once and the chains of a slice run side by side. A long text is read in windows
+and its chain in pieces, which run side by side as 2 x 2 matrices first and with their borders known then; what is kept
+of it is 12 bytes a line and 8 bytes a distinct word pair.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import slices
 from .linear import held_out, labelled_sample, lbfgs, platt
 
+_WINDOW = 1 << 20
+_LINES = 2000
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b".,;:'\"()-", b"!?", b"#$%&*+=@^~_\\/<>[]{}`", b"|", b" \t\x0b\x0c\r")
 
 
@@ -34,56 +38,137 @@ class Model:
     b: float
 
 
-def lines_of(texts: list[str]):
-    """(line features, number of lines of each text, line lengths in bytes) of whole texts; an empty text is one line."""
+def _kinds():
+    """The class of each byte: a place in ``_CLASSES``, one more for all others, two more for a line break."""
     import numpy as np
 
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    n_lines = np.fromiter((r.count(b"\n") + 1 for r in raw), np.int64, len(raw))
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    breaks = np.flatnonzero(data == 10)
-    starts = np.r_[0, breaks[:-1] + 1]
-    length = breaks - starts
-    total = len(starts)
     table = np.full(256, len(_CLASSES), np.uint8)
     for k, c in enumerate(_CLASSES):
         table[list(c)] = k
     table[10] = len(_CLASSES) + 1
-    kind = table[data]
+    return table
+
+
+def _surface(data):
+    """(line starts, lengths, class counts, word hashes, line of each word) of bytes that end with a line break."""
+    import numpy as np
+
+    breaks = np.flatnonzero(data == 10)
+    starts = np.r_[0, breaks[:-1] + 1]
+    kind = _kinds()[data]
     counts = np.stack([np.add.reduceat(kind == k, starts, dtype=np.int64) for k in range(len(_CLASSES) + 1)], 1)
-    size = np.maximum(1, length)[:, None]
     # words: runs of anything but white space
     blank = (kind == len(_CLASSES) - 1) | (kind == len(_CLASSES) + 1)
     inside = ~blank
     begin = np.flatnonzero(inside & np.r_[True, blank[:-1]])
     end = np.flatnonzero(inside & np.r_[blank[1:], True]) + 1
     line = np.searchsorted(starts, begin, "right") - 1
-    words = np.bincount(line, minlength=total)
     mul = np.uint64(0x9E3779B97F4A7C15)
     token = (data.astype(np.uint64) + np.uint64(1)) * mul
     token ^= token >> np.uint64(32)
     power = np.cumprod(np.full(int((end - begin).max()) if len(begin) else 1, 0xD1342543DE82EF95, np.uint64))
-    spot = np.arange(len(data)) - np.repeat(begin, np.diff(np.r_[begin, len(data)])) if len(begin) and begin[0] == 0 else None
-    if spot is None:
-        first = begin[0] if len(begin) else len(data)
-        spot = np.r_[np.zeros(first, np.int64), np.arange(first, len(data)) - np.repeat(begin, np.diff(np.r_[begin, len(data)]))]
+    first = begin[0] if len(begin) else len(data)
+    spot = np.r_[np.zeros(first, np.int64), np.arange(first, len(data)) - np.repeat(begin, np.diff(np.r_[begin, len(data)]))]
     token *= power[np.minimum(spot, len(power) - 1)]
     token[blank] = 0
     word = np.add.reduceat(token, begin) if len(begin) else np.zeros(0, np.uint64)
+    return starts, breaks - starts, counts, word, line
+
+
+def _pairs(word):
+    import numpy as np
+
+    return word[:-1] * np.uint64(0x94D049BB133111EB) + word[1:]
+
+
+def _base(length, counts, words, distinct, repeats, fresh):
+    """The features of single lines from their bytes, class counts and words: distinct, equal to the one before, in word pairs new in the text."""
+    import numpy as np
+
+    per, size = np.maximum(1, words), np.maximum(1, length)[:, None]
+    return np.c_[np.log1p(length), np.log1p(words), counts / size, length / per / 10, np.minimum(1, distinct / per), repeats / per, np.minimum(1, fresh / per), counts[:, 4] / per, counts[:, 5] / per, counts[:, 6] / per, length == 0]
+
+
+def base_of(raw: list[bytes]):
+    """(features of single lines, number of lines of each text, line lengths in bytes); an empty text is one line."""
+    import numpy as np
+
+    n_lines = np.fromiter((r.count(b"\n") + 1 for r in raw), np.int64, len(raw))
+    starts, length, counts, word, line = _surface(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8))
+    total = len(starts)
     doc = np.repeat(np.arange(len(raw)), n_lines)
-    again = np.zeros((total, 3))
+    distinct = repeats = fresh = np.zeros(total, np.int64)
     if len(word):
-        salt = line.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-        _, one = np.unique(word ^ salt, return_index=True)
-        again[:, 0] = np.bincount(line[one], minlength=total)  # distinct words of the line
-        again[:, 1] = np.bincount(line[1:][(word[1:] == word[:-1]) & (line[1:] == line[:-1])], minlength=total)
-        pair = word[:-1] * np.uint64(0x94D049BB133111EB) + word[1:]
+        salt = np.uint64(0xBF58476D1CE4E5B9)
+        _, one = np.unique(word ^ (line.astype(np.uint64) * salt), return_index=True)
+        distinct = np.bincount(line[one], minlength=total)
+        repeats = np.bincount(line[1:][(word[1:] == word[:-1]) & (line[1:] == line[:-1])], minlength=total)
         own = doc[line]
-        _, one = np.unique(pair ^ (own[1:].astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)), return_index=True)
-        again[:, 2] = np.bincount(line[1:][one], minlength=total)  # word pairs new in the document
-    per = np.maximum(1, words)
-    chars = counts / size
-    base = np.c_[np.log1p(length), np.log1p(words), chars, length / per / 10, np.minimum(1, again[:, 0] / per), again[:, 1] / per, np.minimum(1, again[:, 2] / per), counts[:, 4] / per, counts[:, 5] / per, counts[:, 6] / per, length == 0]
+        inside = np.flatnonzero(own[1:] == own[:-1])
+        _, one = np.unique(_pairs(word)[inside] ^ (own[1:][inside].astype(np.uint64) * salt), return_index=True)
+        fresh = np.bincount(line[1:][inside][one], minlength=total)
+    return _base(length, counts, np.bincount(line, minlength=total), distinct, repeats, fresh), n_lines, length
+
+
+def _cuts(raw: bytes, window: int):
+    """Ends of consecutive windows: behind a line break, else behind white space, else after ``window`` bytes."""
+    at = 0
+    while len(raw) - at > window:
+        end = raw.rfind(b"\n", at, at + window) + 1
+        if not end:
+            end = max(raw.rfind(c, at, at + window) for c in (b" ", b"\t")) + 1 or at + window
+        yield at, end
+        at = end
+    yield at, len(raw)
+
+
+def long_base(raw: bytes, window: int = 0):
+    """``base_of`` of one long text, window by window: pairs (features, lengths) of consecutive lines.
+
+    A line longer than a window is gathered piece by piece; a word longer than a window counts as several.
+    """
+    import numpy as np
+
+    seen, last = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # word pairs of the text, its last word so far
+    held = None  # the line that the last window left open: length, counts, words, distinct words, repeats, fresh pairs
+    for a, b in _cuts(raw, window or _WINDOW):
+        part = raw[a:b]
+        closed = b == len(raw) or part.endswith(b"\n")
+        starts, length, counts, word, line = _surface(np.frombuffer(part[:-1] + b"\n" if part.endswith(b"\n") and b < len(raw) else part + b"\n", np.uint8))
+        total = len(starts)
+        words = np.bincount(line, minlength=total)
+        spoken, at = np.r_[last, word], np.r_[np.full(len(last), -1), line]
+        repeats = np.bincount(at[1:][(spoken[1:] == spoken[:-1]) & (at[1:] == at[:-1])], minlength=total)
+        if held is not None and len(last) and len(word) and line[0] == 0 and held[2] and last[0] == word[0]:
+            repeats[0] += 1
+        pair, one = np.unique(_pairs(spoken), return_index=True) if len(spoken) > 1 else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        new = ~np.isin(pair, seen, assume_unique=True)
+        fresh = np.bincount(at[1:][one[new]], minlength=total)
+        seen = np.sort(np.r_[seen, pair[new]])
+        _, one = np.unique(word ^ (line.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)), return_index=True)
+        distinct = np.bincount(line[one], minlength=total)
+        last = spoken[-1:]
+        open_words = np.unique(word[line == total - 1]) if not closed else None
+        if held is not None:
+            known = held[3]
+            mine = np.unique(np.r_[known, word[line == 0]])
+            length[0], counts[0], words[0], distinct[0], repeats[0], fresh[0] = length[0] + held[0], counts[0] + held[1], words[0] + held[2], len(mine), repeats[0] + held[4], fresh[0] + held[5]
+            if total == 1 and not closed:
+                open_words = mine
+        held = None
+        if not closed:
+            held = (length[-1], counts[-1], words[-1], open_words, repeats[-1], fresh[-1])
+            length, counts, words, distinct, repeats, fresh = (x[:-1] for x in (length, counts, words, distinct, repeats, fresh))
+        if len(length):
+            yield _base(length, counts, words, distinct, repeats, fresh), length
+
+
+def lines_of(texts: list[str]):
+    """(line features, number of lines of each text, line lengths in bytes) of whole texts; an empty text is one line."""
+    import numpy as np
+
+    base, n_lines, length = base_of([t.encode("utf-8", "surrogatepass") for t in texts])
+    doc = np.repeat(np.arange(len(texts)), n_lines)
     same = doc[1:] == doc[:-1]
     before, behind = np.zeros_like(base), np.zeros_like(base)
     before[1:][same] = base[:-1][same]
@@ -185,21 +270,125 @@ def train(texts: list[str], y, weight, l2: float = 1.0, rounds: int = 60) -> Mod
     return model
 
 
+def _parts(model: Model):
+    """(constant, weights of a line's own features, of them as the line before and behind, of first and last line, transitions)."""
+    k = len(model.mean) + 1
+    u, trans = model.weights[: 2 * k].reshape(k, 2), model.weights[2 * k :].reshape(2, 2)
+    w = u[:-1] / model.scale[:, None]
+    n = (k - 3) // 3
+    return u[-1] - model.mean @ w, w[:n], w[n : 2 * n], w[2 * n : 3 * n], w[3 * n], w[3 * n + 1], trans
+
+
 def raw_scores(texts: list[str], model: Model):
     """(length-weighted mean marginal, lines, bad lines) of each text."""
     import numpy as np
 
-    x, n_lines, length = lines_of(texts)
-    k = x.shape[1] + 1
-    u, trans = model.weights[: 2 * k].reshape(k, 2), model.weights[2 * k :].reshape(2, 2)
-    unary = ((x - model.mean) / model.scale) @ u[:-1] + u[-1]
-    p = marginals(unary, trans, n_lines)[1]
-    at = np.cumsum(n_lines) - n_lines
-    return _text_scores(p, n_lines, length), n_lines, np.add.reduceat(p[:, 1] < 0.5, at, dtype=np.int64)
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    long = np.array([len(r) > _WINDOW or r.count(b"\n") > _LINES for r in raw], bool)
+    score, n_lines, bad = np.zeros(len(raw)), np.ones(len(raw), np.int64), np.zeros(len(raw), np.int64)
+    for i in np.flatnonzero(long).tolist():
+        score[i], n_lines[i], bad[i] = long_score(raw[i], model)
+    short = np.flatnonzero(~long)
+    if len(short):
+        constant, own, before, behind, first, last, trans = _parts(model)
+        base, n, length = base_of([raw[i] for i in short.tolist()])
+        start = np.cumsum(n) - n
+        unary = constant + base @ own
+        inner = np.ones(len(base), bool)
+        inner[start] = False
+        inner = np.flatnonzero(inner)
+        unary[inner] += base[inner - 1] @ before
+        unary[inner - 1] += base[inner] @ behind
+        unary[start] += first
+        unary[start + n - 1] += last
+        p = marginals(unary, trans, n)[1]
+        score[short], n_lines[short], bad[short] = _text_scores(p, n, length), n, np.add.reduceat(p[:, 1] < 0.5, start, dtype=np.int64)
+    return score, n_lines, bad
+
+
+def long_score(raw: bytes, model: Model, window: int = 0, piece: int = 256):
+    """``raw_scores`` of one long text."""
+    import numpy as np
 
+    constant, own, before, behind, first, last, trans = _parts(model)
+    unary, lengths, edge = [], [], None
+    for base, length in long_base(raw, window):
+        u = constant + base @ own
+        u[1:] += base[:-1] @ before
+        u[:-1] += base[1:] @ behind
+        if edge is not None:
+            u[0] += edge @ before
+            unary[-1][-1] += (base[0] @ behind).astype(np.float32)
+        edge = base[-1].copy()
+        unary.append(u.astype(np.float32))
+        lengths.append(length.astype(np.int32))
+    unary, length = np.concatenate(unary), np.concatenate(lengths)
+    unary[0] += first.astype(np.float32)
+    unary[-1] += last.astype(np.float32)
+    good = total = bad = 0
+    for at, p in chain_marginals(unary, trans, piece):
+        w = np.maximum(1, length[at : at + len(p)])
+        good, total, bad = good + float(p @ w), total + int(w.sum()), bad + int((p < 0.5).sum())
+    return good / total, len(unary), bad
+
+
+def chain_marginals(unary, trans, piece: int = 256, group: int = 4096):
+    """(first line, marginals of label 1) of consecutive runs of one long chain's lines.
+
+    Pieces of the chain are multiplied out side by side to 2 x 2 matrices, which give the state at every border; then
+    a bounded group of pieces at a time runs forward and backward between its borders.
+    """
+    import numpy as np
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train on at most ``per_class`` labelled rows of each class, from the training folds alone."""
+    n = len(unary)
+    count = -(-n // piece)
+    join = lambda x, axis: np.logaddexp.reduce(x, axis)
+    size = np.full(count, piece)
+    size[-1] = n - (count - 1) * piece
+    lines = lambda p, t: np.minimum(p * piece + t, n - 1)
+    whole = np.arange(count)
+    f = trans[None] + unary[lines(whole, 0)].astype(float)[:, None, :]
+    for t in range(1, piece):
+        g = join(f[:, :, :, None] + trans[None, None], 2) + unary[lines(whole, t)].astype(float)[:, None, :]
+        f = np.where((t < size)[:, None, None], g, f)
+    into, out = np.zeros((count, 2)), np.zeros((count, 2))  # alpha before a piece's first line, beta at its last
+    state = None
+    for p in range(count - 1):
+        if p == 0:  # nothing comes before the first line
+            state = unary[0].astype(float)
+            for t in range(1, int(size[0])):
+                state = join(state[:, None] + trans, 0) + unary[t]
+        else:
+            state = join(into[p][:, None] + f[p], 0)
+        into[p + 1] = state - state.max()
+    for p in range(count - 1, 0, -1):
+        state = join(f[p] + out[p][None, :], 1)
+        out[p - 1] = state - state.max()
+    for lo in range(0, count, group):
+        p = whole[lo : lo + group]
+        live = size[p]
+        alpha = np.empty((len(p), piece, 2))
+        for t in range(piece):
+            u = unary[lines(p, t)].astype(float)
+            came = into[p] if t == 0 else alpha[:, t - 1]
+            alpha[:, t] = join(came[:, :, None] + trans[None], 1) + u
+            if t == 0 and lo == 0:
+                alpha[0, 0] = u[0]
+            if t:
+                alpha[:, t] = np.where((t < live)[:, None], alpha[:, t], alpha[:, t - 1])
+        beta, good = out[p], np.empty((len(p), piece))
+        for t in range(piece - 1, -1, -1):
+            both = alpha[:, t] + beta
+            good[:, t] = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -700, 700)))
+            if t:
+                u = unary[lines(p, t)].astype(float)
+                back = join(trans[None] + (u + beta)[:, None, :], 2)
+                beta = np.where((t < live)[:, None], back, beta)
+        yield int(lo * piece), good.ravel()[: n - lo * piece]
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Train on at most ``per_class`` labelled rows and ``max_chars`` characters of each class, from the training folds alone."""
     return train(*labelled_sample(docs, labels, "quality", per_class, max_chars, id_col, text_col))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -73,8 +73,9 @@ def held_out(id_col: str, fold: int = 2, folds: int = 4) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int, id_col: str = "doc_id", text_col: str = "text"):
     """(texts, labels, weights) on the driver: of each class the ``per_class`` training rows first by a hash of the id.
 
-    Rows of the held-out fold, rows without label and texts of over ``max_chars`` characters are no training rows. A
-    row's weight is what it stands for in its class. An id with several labels counts with the largest.
+    Their texts come in that order until ``max_chars`` characters of a class are reached, which bounds the driver's
+    memory. Rows of the held-out fold and rows without label are no training rows. A row's weight is what it stands for
+    in its class. An id with several labels counts with the largest, one with several texts with the first in order.
     """
     import numpy as np
 
@@ -82,8 +83,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     first = [known.filter(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
     chosen = first[0].union(first[1])  # at most 2 * per_class rows
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
-    got = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).collect()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+    upto = F.sum(F.length("text").cast("long")).over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    got = found.withColumn("upto", upto).filter(F.col("upto") <= max_chars).collect()
     got.sort(key=lambda r: r["id"])
     y = np.array([r["y"] for r in got], np.float64)
     have = np.bincount(y.astype(int), minlength=2)

@@ -5,8 +5,9 @@ pre-token frequencies are gathered (one row per block and distinct pre-token, ca
 the rows meet by pre-token in one exchange, each distinct pre-token is encoded once there, and the piece counts are
 joined to the frequency rows and summed per document.
 
-Scale: the only large exchange carries about 3 bytes per (document, distinct pre-token). A pre-token of every
-document gives one row a block, not one a document, so no key is hot. State per task is bounded (``_FLUSH``).
+Scale: the only large exchange carries about 3 bytes per (document, distinct pre-token). A pre-token of every document
+gives one row a block, not one a document; where it is in more than ``_COMMON`` documents of a block, its rows are dealt
+by the block to ``_SHARES`` shares, and it is encoded once in each. A task holds the sums of ``_FLUSH`` blocks at most.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 from .common import binary_array, binary_view, load_tokenizer, slices, tokenizer_file
 
 _BLOCK = 16_384
-_FLUSH = 256
+_FLUSH = 128
+_COMMON = 512
+_SHARES = 1024
 _POSTING = [("doc", "<u2"), ("n", "u1")]
 _LOOSE = re.compile(r" (?:\s|$)")
 _CUT = re.compile(r" (?=\S)")
@@ -115,18 +118,20 @@ def _join_counts(tokenizer: str):
             posting = np.frombuffer(data.tobytes(), _POSTING)
             lengths = np.diff(at) // posting.itemsize
             blocks, slot = np.unique(rows.column("block").to_numpy(), return_inverse=True)
-            total = np.bincount(np.repeat(slot, lengths) * _BLOCK + posting["doc"], posting["n"] * np.repeat(per_row, lengths), len(blocks) * _BLOCK)
-            for b, s in zip(blocks.tolist(), total.astype(np.int64).reshape(-1, _BLOCK), strict=True):
-                s = s[: np.flatnonzero(s)[-1] + 1]
-                if b in sums and len(sums[b]) >= len(s):
-                    sums[b][: len(s)] += s
-                elif b in sums:
-                    s[: len(sums[b])] += sums[b]
-                    sums[b] = s.copy()
-                else:
-                    sums[b] = s.copy()
-            if len(sums) > _FLUSH:
-                yield flush()
+            place, worth, n = np.repeat(slot, lengths), posting["n"] * np.repeat(per_row, lengths), len(blocks)
+            for lo in range(0, n, _FLUSH):
+                own = slice(None) if n <= _FLUSH else (place >= lo) & (place < lo + _FLUSH)
+                total = np.bincount((place[own] - lo) * _BLOCK + posting["doc"][own], worth[own], min(_FLUSH, n - lo) * _BLOCK)
+                for b, s in zip(blocks[lo : lo + _FLUSH].tolist(), total.reshape(-1, _BLOCK), strict=True):
+                    s = s[: np.flatnonzero(s)[-1] + 1].astype(np.int64)
+                    if b in sums and len(sums[b]) >= len(s):
+                        sums[b][: len(s)] += s
+                    else:
+                        if b in sums:
+                            s[: len(sums[b])] += sums[b]
+                        sums[b] = s
+                if len(sums) > _FLUSH:
+                    yield flush()
         if sums:
             yield flush()
 
@@ -166,7 +171,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 102
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spread = rows.mapInArrow(_frequencies, "block long, word string, data binary")
-    key = F.when(F.col("word").isNull(), F.xxhash64("block")).otherwise(F.xxhash64("word"))
+    share = F.when(F.octet_length("data") > _COMMON * 3, F.pmod(F.xxhash64("block"), F.lit(_SHARES))).otherwise(F.lit(-1).cast("long"))
+    key = F.when(F.col("word").isNull(), F.xxhash64("block")).otherwise(F.xxhash64("word", share))
     met = spread.repartition(key).sortWithinPartitions("word")
     sums = met.mapInArrow(_join_counts(tokenizer or tokenizer_file()), "block long, head boolean, data binary")
     counted = sums.repartition("block").sortWithinPartitions("block").mapInArrow(_add_up, "doc_id long, n_bytes long, n_tokens long")

@@ -7,8 +7,8 @@ adders over whole bitmaps reduce the stacks to one bitmap for each digit of the
 selected from the most significant slice downward; rows that tie at the boundary are resolved by id. Every step is
 exact integer arithmetic, in Python's integers where a score may need more than 62 digits.
 
-Scale: the stated query set meets all rows in blocks. A task holds one index block and a bounded number of query
-chunks, and sends k rows for each of its queries on.
+Scale: the stated query set meets all rows in blocks. Blocks and query chunks are dealt to numbered parts by a hash, a
+group is one pair of parts, and it sends k rows for each of its queries on.
 """
 
 from __future__ import annotations
@@ -174,6 +174,8 @@ def _search(k: int):
             every = np.packbits(every, bitorder="little").view(np.uint64)
             order = np.argsort(ids, kind="stable")
             for chunk in right.to_pylist():
+                if chunk["dim"] != block["dim"]:
+                    continue
                 qids = np.frombuffer(chunk["qids"], "<i8")
                 weights = np.frombuffer(chunk["q"], "<i8").reshape(len(qids), -1)
                 for qid, w in zip(qids.tolist(), weights, strict=True):
@@ -216,11 +218,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     index = materialise(quantise(vectors, scale, id_col, vec_col).mapInArrow(_index, "dim int, block long, base long, digits int, ids binary, bits binary"))
     asked = quantise(queries, scale, id_col, vec_col).dropDuplicates(["vec_id"])
     chunks = materialise(asked.mapInArrow(_chunks, "dim int, chunk long, qids binary, q binary"))
-    parts = max(1, -(-chunks.count() // _CHUNKS))
-    part = F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("asked_part")
-    blocks = index.select(F.col("dim").alias("block_dim"), F.col("block").alias("asked_block"))
-    pairs = blocks.join(chunks, F.col("block_dim") == F.col("dim")).select("asked_block", part, "qids", "q")
-    dealt = index.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    found = dealt.groupBy("block", "part").cogroup(pairs.groupBy("asked_block", "asked_part")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    n_left, n_right = max(1, index.count()), max(1, -(-chunks.count() // _CHUNKS))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).alias("own")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("other")
+    left, right = index.select("*", part("block", n_left), every(n_right)), chunks.select("*", part("chunk", n_right), every(n_left))
+    found = left.groupBy("own", "other").cogroup(right.groupBy("other", "own")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

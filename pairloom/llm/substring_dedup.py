@@ -3,13 +3,16 @@
 Method: an exact filter first finds what can repeat at all. Every window of ``width`` bytes chooses its smallest hash of
 ``gram`` consecutive bytes as anchor, so equal windows choose equal anchors at equal places, and every repeated window
 lies in the neighbourhoods (``width - gram`` bytes to the left, ``width`` to the right) of anchors that repeat.
-Neighbourhoods that repeat as wholes are covered as wholes. Of the others, one of each kind goes to the shard of its
-anchor's hash; a shard's text is sorted by induced sorting, permuted common prefixes give the runs of suffixes that
-agree in ``width`` bytes, and a run with two different places in the corpus covers those places.
+Neighbourhoods that repeat as wholes (equal in 128 bits of a SHA-256 of their bytes and in their anchor's hash) are
+covered as wholes. Of the others, one of each kind goes to the shard of its anchor's hash; a shard's text is sorted by
+induced sorting, permuted common prefixes give the runs of suffixes that agree in ``width`` bytes, and a run with two
+different places in the corpus covers those places.
 
 Equal texts are one row from the start. Texts are stored once, bucketed by key, and joined where they lie: what moves
 are anchors, the neighbourhoods at the borders of repeats, and spans. Repeats inside a slice of the input are combined
-before the exchange, so a passage of very many documents sends one row a slice.
+before the exchange, so a passage of very many documents sends one row a slice. A shard of more than ``_MOST`` kinds, as
+a common passage has them whose surroundings differ, is split by the bytes beside its anchor (see ``_split``) until
+none is larger, so no task grows with the most common passage.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ from .suffix_array import common_prefixes, suffix_array
 
 _PIECE = 1 << 20
 _ODD = 0xD1342543DE82EF95
-_SHARD = 2 << 20
+_SHARD = 1 << 20
+_MOST = 1024
+_KEY_BITS = 64
 
 
 class Anchors:
@@ -76,10 +81,8 @@ def _find(width: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        import xxhash
 
         anchors, side = Anchors(width, gram), width - gram
-        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             keys = batch.column("key").to_numpy()
             many = batch.column("copies").to_numpy() > 1
@@ -113,104 +116,99 @@ def _find(width: int, gram: int):
             left, right = np.minimum(side, pos), np.minimum(width, size - pos)
             base = at[row] + pos
             raw = data.tobytes()
-            snip = np.array([digest(raw[a:b], s) for a, b, s in zip((base - left).tolist(), (base + right).tolist(), (left * 4096 + right).tolist(), strict=True)], np.uint64)
+            snip, more = _digests(raw, (base - left).tolist(), (base + right).tolist(), left)
             want = ~many[row]
             order = np.lexsort((snip, h))
-            h, snip, row, pos, want = h[order], snip[order], row[order], pos[order], want[order]
-            new = np.r_[True, (h[1:] != h[:-1]) | (snip[1:] != snip[:-1])]
+            h, snip, more, row, pos, want = h[order], snip[order], more[order], row[order], pos[order], want[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (snip[1:] != snip[:-1]) | (more[1:] != more[:-1])]
             kind = np.cumsum(new) - 1
             n_kind = np.bincount(kind)
             rep = np.flatnonzero(new)
             whole = (n_kind[kind] > 1) & want
             key = keys[row]
-            yield _rows(h[rep].view(np.int64), snip[rep].view(np.int64), key[rep], pos[rep], want[rep] & (n_kind == 1), (n_kind > 1) | ~want[rep], np.zeros(len(rep), bool))
+            yield _rows(h[rep].view(np.int64), snip[rep], more[rep], key[rep], pos[rep], want[rep] & (n_kind == 1), (n_kind > 1) | ~want[rep], np.zeros(len(rep), bool))
             if whole.any():
                 k = key[whole]
-                yield _rows(k, np.zeros(len(k), np.int64), k, pos[whole], np.zeros(len(k), bool), np.zeros(len(k), bool), np.ones(len(k), bool))
+                yield _rows(k, np.zeros(len(k), np.int64), np.zeros(len(k), np.int64), k, pos[whole], np.zeros(len(k), bool), np.zeros(len(k), bool), np.ones(len(k), bool))
 
     return run
 
 
-_ROWS = pa.schema([("h", pa.int64()), ("snip", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("flags", pa.int8())])
+def _digests(raw: bytes, starts: list[int], ends: list[int], left):
+    """Two longs, 128 bits of the SHA-256 of each stretch of ``raw`` and of how far its anchor lies in it."""
+    import numpy as np
+
+    place = left.astype("<i4").tobytes()
+    found = b"".join([hashlib.sha256(raw[a:b] + place[4 * i : 4 * i + 4]).digest() for i, (a, b) in enumerate(zip(starts, ends, strict=True))])
+    two = np.frombuffer(found, "<i8").reshape(-1, 4)
+    return two[:, 0].copy(), two[:, 1].copy()
+
+
+_ROWS = pa.schema([("h", pa.int64()), ("snip", pa.int64()), ("more", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("flags", pa.int8())])
 
 
-def _rows(h, snip, key, pos, want, many, whole) -> pa.RecordBatch:
+def _rows(h, snip, more, key, pos, want, many, whole) -> pa.RecordBatch:
     """flags: 1 its spans are wanted, 2 it stands for several places, 4 covered as a whole."""
     flags = want * 1 + many * 2 + whole * 4
-    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(snip), pa.array(key), pa.array(pos.astype("int32")), pa.array(flags.astype("int8"))], schema=_ROWS)
+    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(snip), pa.array(more), pa.array(key), pa.array(pos.astype("int32")), pa.array(flags.astype("int8"))], schema=_ROWS)
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors sorted by (h, snip) to what is covered as a whole (flags 4) and the kinds of a shard (flags 1 or 2).
+    """Anchors sorted by (h, snip, more) to what is covered as a whole (flags 4) and the kinds of a shard (flags 1 or 2).
 
-    Rows of one kind beyond the first are seen one by one; only the last row and its kind's state cross batches.
+    A kind alone in its shard is left out. Only the last kind crosses batches, with whether its shard has others.
     """
     import numpy as np
 
-    held = None  # the rows of the last h, combined: at most one wanted single row, or rows that stand for several
-    for batch in _padded(batches):
-        if batch is None:
-            rows = held
-            held = None
-        else:
+    names = ("h", "snip", "more", "key", "pos", "flags")
+    held, others = None, False  # the rows of the last kind seen, combined; whether its shard had one before
+    for batch in _padded(batches, names):
+        if batch is not None:
             whole = batch["flags"] == 4
             if whole.any():
                 yield _out(batch[whole])
             rows = batch[~whole]
-            if held is not None:
-                rows = np.concatenate([held, rows])
             if not len(rows):
                 continue
-            tail = rows["h"] == rows["h"][-1]
-            cut = len(rows) - int(tail[::-1].argmin()) if not tail.all() else 0
-            rows, held = rows[:cut], rows[cut:]
-            if len(held) > 4096:  # a large shard: its repeated kinds are settled now and one row of each is kept
-                done, held = _settle(held, last=False)
-                if len(done):
-                    yield _out(done)
-        if rows is None or not len(rows):
-            continue
-        done, kinds = _settle(rows, last=True)
+            rows = rows if held is None else np.concatenate([held, rows])
+        elif held is not None:
+            rows = held
+        else:
+            break
+        new = np.r_[True, (rows["h"][1:] != rows["h"][:-1]) | (rows["snip"][1:] != rows["snip"][:-1]) | (rows["more"][1:] != rows["more"][:-1])]
+        kind = np.cumsum(new) - 1
+        several = np.bincount(kind) > 1
+        done = rows[several[kind] & (rows["flags"] & 1 == 1)].copy()
         if len(done):
+            done["flags"] = 4
             yield _out(done)
-        new = np.r_[True, kinds["h"][1:] != kinds["h"][:-1]]
-        shard = np.cumsum(new) - 1
-        wanted = np.bincount(shard, kinds["flags"] & 1) > 0
-        keep = (np.bincount(shard)[shard] > 1) & wanted[shard]
-        if keep.any():
-            yield _out(kinds[keep])
-
-
-def _settle(rows, last: bool):
-    """(rows covered as wholes, one row of each kind): of kinds with several rows the wanted ones are covered."""
-    import numpy as np
-
-    order = np.lexsort((rows["snip"], rows["h"]))
-    rows = rows[order]
-    new = np.r_[True, (rows["h"][1:] != rows["h"][:-1]) | (rows["snip"][1:] != rows["snip"][:-1])]
-    kind = np.cumsum(new) - 1
-    several = np.bincount(kind)[kind] > 1
-    done = rows[several & (rows["flags"] & 1 == 1)].copy()
-    done["flags"] = 4
-    kinds = rows[new].copy()
-    kinds["flags"][np.bincount(kind) > 1] = 2
-    return done, kinds
-
-
-_PACKED = [("h", "<i8"), ("snip", "<i8"), ("key", "<i8"), ("pos", "<i4"), ("flags", "i1")]
+        kinds = rows[new].copy()
+        kinds["flags"][several] = 2
+        same = kinds["h"][1:] == kinds["h"][:-1]
+        company = np.r_[others, same] | np.r_[same, False]
+        if batch is None:
+            out = kinds[company]
+        else:  # the last kind may go on in the next batch
+            out, held, others = kinds[:-1][company[:-1]], kinds[-1:], bool(same[-1]) if len(same) else others
+        if len(out):
+            yield _out(out)
 
 
-def _padded(batches):
+def _padded(batches, names):
+    """Packed rows of every batch, then None."""
     import numpy as np
 
     for batch in batches:
-        out = np.empty(batch.num_rows, _PACKED)
-        for name, _ in _PACKED:
+        out = np.empty(batch.num_rows, [p for p in _PACKED if p[0] in names])
+        for name in names:
             out[name] = batch.column(name).to_numpy()
         yield out
     yield None
 
 
+_PACKED = [("h", "<i8"), ("snip", "<i8"), ("more", "<i8"), ("key", "<i8"), ("pos", "<i4"), ("flags", "i1")]
+
+
 def _out(rows) -> pa.RecordBatch:
     import numpy as np
 
@@ -239,8 +237,9 @@ def _extract(width: int, gram: int):
                 s = slice(k, k + 20_000)
                 text = b"".join([raw[x:y] for x, y in zip(a[s].tolist(), b[s].tolist(), strict=True)])
                 ends = np.r_[0, np.cumsum(b[s] - a[s])]
-                cols = [parts.field("h").slice(k, 20_000), pa.array(batch.column("key").to_numpy()[row[s]]), pa.array(pos[s].astype(np.int32)), parts.field("flags").slice(k, 20_000), binary_array(text, ends)]
-                yield pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "flags", "text"])
+                left = np.minimum(pos[s], side).astype(np.int32)
+                cols = [parts.field("h").slice(k, 20_000), pa.array(batch.column("key").to_numpy()[row[s]]), pa.array(pos[s].astype(np.int32)), pa.array(left), parts.field("flags").slice(k, 20_000), binary_array(text, ends)]
+                yield pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "left", "flags", "text"])
 
     return run
 
@@ -261,7 +260,7 @@ def repeated_spans(size, key, start, flags, text, width: int):
     real = offset < size[row_of]
     t[: n - 1][real] = np.minimum(text, 253) + 2
     t[n - 1] = 0
-    order = suffix_array(t, width)
+    order = suffix_array(t)
     inner = np.minimum(order, n - 2)
     p = order[(order < n - 1) & (size[row_of[inner]] - offset[inner] >= width)]
     if not len(p):
@@ -315,14 +314,100 @@ def _likely(h, size, left, flags, data, width: int, gram: int):
     return keep & (np.bincount(shard, keep & (flags & 1 > 0)) > 0)[shard]
 
 
+_SPLIT = "h long, snip long, more long, a int, b int, key long, pos int, left int, flags byte, text binary"
+
+
+def _split(width: int, gram: int):
+    """Rows of shards that are too large to rows of smaller ones.
+
+    The windows at an anchor reach 0 to ``width - gram`` bytes to its left. A shard stands for a range ``a`` to ``b`` of
+    that reach; it is cut in four, and a row goes to the part of each range that it has windows in, cut down to the bytes
+    of those windows. All windows of a range hold the ``a`` bytes before the anchor and those behind it up to the range's
+    end, so rows that differ there are in different shards. Rows that are equal as cut are combined as in ``_find``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        side = width - gram
+        for batch in batches:
+            data, at = binary_view(batch.column("text"))
+            raw = data.tobytes()
+            h, a0, b0, key, pos, left, flags = (batch.column(c).to_numpy() for c in ("h", "a", "b", "key", "pos", "left", "flags"))
+            anchor = at[:-1] + left
+            right = np.diff(at) - left - gram
+            for q in range(4):
+                n = b0 - a0 + 1
+                a, b = a0 + n * q // 4, a0 + n * (q + 1) // 4 - 1
+                can = np.flatnonzero((a <= b) & (left >= a) & (right >= side - b) & (left + right >= side))
+                if not len(can):
+                    continue
+                lo, hi = np.minimum(left, b)[can], np.minimum(right, side - a)[can]
+                x, y = (anchor[can] - lo).tolist(), (anchor[can] + gram + hi).tolist()
+                snip, more = _digests(raw, x, y, lo)
+                common = _digests(raw, (anchor[can] - a[can]).tolist(), (anchor[can] + gram + side - b[can]).tolist(), a[can])[0]
+                shard = ((h[can].view(np.uint64) ^ common.view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64) ^ a[can]
+                order = np.lexsort((more, snip, shard))
+                new = np.r_[True, (shard[order][1:] != shard[order][:-1]) | (snip[order][1:] != snip[order][:-1]) | (more[order][1:] != more[order][:-1])]
+                size = np.bincount(np.cumsum(new) - 1)
+                kind = np.empty(len(can), np.int64)
+                kind[order] = np.cumsum(new) - 1
+                mark = flags[can]
+                whole = (size[kind] > 1) & (mark & 1 == 1)
+                rep = order[new]
+                mark = np.where(size[kind] > 1, 2, mark)
+                pick = np.r_[rep, np.flatnonzero(whole)]
+                spans = np.arange(len(pick)) >= len(rep)
+                text = b"".join([raw[x[i] : y[i]] for i in rep.tolist()])
+                ends = np.r_[0, np.cumsum((hi + gram + lo)[rep]), np.full(int(spans.sum()), len(text))]
+                long = lambda v: pa.array(v[pick])
+                first, length = (pos[can] - lo), (lo + gram + hi)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.where(spans, key[can][pick], shard[pick])), long(snip), long(more), pa.array(np.where(spans, first[pick], a[can][pick]).astype(np.int32)), pa.array(np.where(spans, (first + length)[pick], b[can][pick]).astype(np.int32)),
+                    long(key[can]), long(pos[can]), pa.array(lo[pick].astype(np.int32)), pa.array(np.where(spans, 4, mark[pick]).astype(np.int8)), binary_array(text, ends)
+                ], ["h", "snip", "more", "a", "b", "key", "pos", "left", "flags", "text"])
+
+    return run
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_split`` sorted by (h, snip, more) with one row of each kind; of several the wanted ones become spans."""
+    import numpy as np
+
+    last, held = None, None  # the kind at hand and its one row, which may go on in the next batch
+
+    def span(row):
+        first = row["pos"] - row["left"]
+        return row | {"a": first, "b": first + len(row["text"]), "flags": 4, "text": b""}
+
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if row["flags"] == 4:
+                out.append(row)
+                continue
+            kind = (row["h"], row["snip"], row["more"])
+            if kind != last:
+                if held is not None:
+                    out.append(held)
+                last, held = kind, row
+                continue
+            out += [span(r) for r in (held, row) if r["flags"] & 1]
+            held = held | {"flags": 2}
+        yield pa.RecordBatch.from_pylist(out, batch.schema)
+        schema = batch.schema
+    if held is not None:
+        yield pa.RecordBatch.from_pylist([held], schema)
+
+
 def _sort_shards(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         def work(table: pa.Table):
-            h, key, pos, flags = (table.column(c).to_numpy() for c in ("h", "key", "pos", "flags"))
+            h, key, pos, left, flags = (table.column(c).to_numpy() for c in ("h", "key", "pos", "left", "flags"))
             text, at = binary_view(table.column("text"))
-            size, left = np.diff(at), np.minimum(pos, width - gram).astype(np.int64)
+            size, left = np.diff(at), left.astype(np.int64)
             keep = _likely(np.ascontiguousarray(h), size, left, flags, text, width, gram)
             text, size = text[np.repeat(keep, size)], size[keep]
             key, start, flags = key[keep], (pos - left)[keep], flags[keep]
@@ -331,11 +416,11 @@ def _sort_shards(width: int, gram: int):
 
         held, size = [], 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
                 held.append(part)
                 size += part.column("text").nbytes
-                if size >= _SHARD:
+                if size >= _SHARD:  # a shard has ``_MOST`` rows at most, so its end is near
                     table = pa.Table.from_batches(held)
                     h = table.column("h").to_numpy()
                     tail = h == h[-1]
@@ -382,16 +467,55 @@ def _cut(width: int):
     return run
 
 
-def _stored(rows: DataFrame) -> DataFrame:
-    """key, text (bytes), copies of the distinct texts: a table in the shared folder, bucketed by key."""
-    spark = rows.sparkSession
-    name = f"pairloom_{uuid.uuid4().hex}"
+def _key(seed: int):
+    mask = (1 << _KEY_BITS) - 1
+    return F.xxhash64(F.lit(seed), "digest").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long"))
+
+
+def _keyed(rows: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(stored doc_id, digest, key, n_bytes of all rows; key, text of all rows), one key a digest.
+
+    A key is a 64-bit hash of the digest; where two digests share one, all but the smallest are hashed anew.
+    """
+    small = materialise(rows.select("doc_id", "digest", _key(seed).alias("key"), F.octet_length("text").cast("long").alias("n_bytes")))
+    texts = rows.select("digest", _key(seed).alias("key"), "text")
+    while True:
+        seed += 1
+        shared = small.groupBy("key").agg(F.min("digest").alias("_first"), F.max("digest").alias("_last")).filter("_first <> _last").select("key", "_first")
+        if shared.isEmpty():
+            return small, texts.select("key", "text")
+        moved = materialise(small.join(shared, "key").filter("digest <> _first").select("digest").distinct().select("digest", _key(seed).alias("_key")))
+        small, texts = (df.join(moved, "digest", "left").withColumn("key", F.coalesce("_key", "key")).drop("_key") for df in (small, texts))
+        small = materialise(small)
+
+
+def _stored(texts: DataFrame) -> tuple[DataFrame, str, str]:
+    """(key, text, copies of the distinct texts: a table in the shared folder, bucketed by key; its name and folder)."""
+    spark = texts.sparkSession
+    name, path = f"pairloom_{uuid.uuid4().hex}", scratch_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # equal keys with unequal digests would be two texts under one key
-    one = F.when(F.min("digest") == F.max("digest"), F.first("text")).otherwise(F.raise_error(F.lit("two texts share a 64-bit key: use another seed")))
-    distinct = rows.groupBy("key").agg(one.alias("text"), F.count("*").alias("copies"))
-    distinct.write.bucketBy(n, "key").sortBy("key").option("path", scratch_dir(spark)).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    distinct = texts.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    distinct.write.bucketBy(n, "key").sortBy("key").option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name), name, path
+
+
+def _smaller(rows: DataFrame, width: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of shards that are small enough; key, start, end of what was covered on the way) of stored large shards."""
+    side, done, spans = width - gram, None, None
+    rows = rows.select("h", F.lit(0).alias("a"), F.lit(side).alias("b"), "key", "pos", "left", "flags", "text")
+    while True:
+        split = rows.mapInArrow(_split(width, gram), _SPLIT)
+        made = materialise(split.repartition("h", "snip").sortWithinPartitions("h", "snip", "more").mapInArrow(_alike, _SPLIT))
+        covered = made.filter("flags = 4").select("key", F.col("a").cast("long").alias("start"), F.col("b").cast("long").alias("end"))
+        kinds = made.filter("flags < 4")
+        counts = kinds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+        sized = kinds.join(counts, "h")
+        large = (F.col("n") > _MOST) & (F.col("a") < F.col("b"))
+        small = sized.filter(~large).select("h", "key", "pos", "left", "flags", "text")
+        done, spans = (small, covered) if done is None else (done.union(small), spans.union(covered))
+        rows = sized.filter(large).select("h", "a", "b", "key", "pos", "left", "flags", "text")
+        if rows.isEmpty():
+            return done, spans
 
 
 def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,16 +527,29 @@ def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None,
     whatever their names; an empty table gives no rows.
     """
     gram = gram or width // 2
+    spark = docs.sparkSession
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", F.sha2("text", 256)).withColumn("key", F.xxhash64(F.lit(seed), "digest"))
-    small = materialise(rows.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes")))
-    texts = _stored(rows.select("key", "digest", "text"))
-    found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, key long, pos int, flags byte")
-    kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip").mapInArrow(_match, "h long, key long, pos int, flags byte"))
-    asked = kinds.filter("flags < 4").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "flags")).alias("asked"))  # bounded by the text's length
-    parts = texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract(width, gram), "h long, key long, pos int, flags byte, text binary")
-    border = parts.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_shards(width, gram), "key long, start long, end long")
+    small, rows = _keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256))), seed)
+    texts, name, path = _stored(rows)
+    found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, more long, key long, pos int, flags byte")
+    kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip", "more").mapInArrow(_match, "h long, key long, pos int, flags byte"))
+    large = materialise(kinds.filter("flags < 4").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > _MOST).select("h"))
+
+    def parts(of: DataFrame) -> DataFrame:
+        asked = of.filter("flags < 4").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "flags")).alias("asked"))  # bounded by the text's length
+        return texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract(width, gram), "h long, key long, pos int, left int, flags byte, text binary")
+
     whole = kinds.filter("flags = 4").select("key", F.greatest(F.col("pos") - (width - gram), F.lit(0)).cast("long").alias("start"), (F.col("pos") + width).cast("long").alias("end"))
+    if large.isEmpty():
+        shards = parts(kinds)
+    else:
+        split, covered = _smaller(parts(kinds.join(large, "h", "left_semi")), width, gram)
+        shards, whole = parts(kinds.join(large, "h", "left_anti")).union(split), whole.union(covered)
+    border = shards.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_shards(width, gram), "key long, start long, end long")
     spans = whole.union(border).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # bounded by the text's length
-    done = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(_cut(width), "key long, n_removed long, n_spans long, kept_sha256 string")
+    cut = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(_cut(width), "key long, n_removed long, n_spans long, kept_sha256 string")
+    done = materialise(cut)
+    spark.sql(f"DROP TABLE {name}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return small.join(done, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -1,8 +1,9 @@
-"""Suffix arrays of shards by induced sorting, and permuted common prefixes, on numpy arrays.
+"""Suffix arrays of shards by recursive induced sorting, and permuted common prefixes, on numpy arrays.
 
-Symbols are small integers; the induction walks the buckets of the alphabet and handles a bucket's entries at once, so
-its work is linear in the shard. Names of leftmost-smaller substrings form a shorter string that is sorted in turn, by
-doubling its ranks, as deep as the prefixes that matter reach.
+Suffixes are classified, their leftmost-smaller substrings are sorted by induction and named, the string of names is
+sorted by the same procedure unless all names differ, and the order found induces that of all suffixes. Over a small
+alphabet the induction walks the buckets and handles a bucket's entries at once; over a large one, as names are, it is
+the plain scan. Either way its work is linear in the string.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ def induce(t, lms, sigma: int):
     import numpy as np
 
     n = len(t)
+    if 16 * sigma > n:
+        return _scan(t, lms, sigma)
     seeds = t[lms]
     order = np.argsort(seeds, kind="stable")
     cut = np.searchsorted(seeds[order], np.arange(sigma + 1))
@@ -97,8 +100,47 @@ def _equal(words, a, b, length):
     return same
 
 
-def suffix_array(t, depth: int):
-    """Positions of ``t`` (uint8; the last symbol the unique smallest) ordered by their first ``depth`` symbols at least."""
+def _scan(t, lms, sigma: int):
+    """``induce`` one suffix at a time."""
+    import numpy as np
+
+    ends = np.cumsum(np.bincount(t, minlength=sigma))
+    head, tail, small = [0, *ends[:-1].tolist()], ends.tolist(), classify(t)[0].tolist()
+    n, t, out = len(t), t.tolist(), [-1] * len(t)
+    for x in reversed(lms.tolist()):
+        tail[t[x]] -= 1
+        out[tail[t[x]]] = x
+    for i in range(n):
+        x = out[i] - 1
+        if x >= 0 and not small[x]:
+            out[head[t[x]]] = x
+            head[t[x]] += 1
+    tail = ends.tolist()
+    for i in range(n - 1, -1, -1):
+        x = out[i] - 1
+        if x >= 0 and small[x]:
+            tail[t[x]] -= 1
+            out[tail[t[x]]] = x
+    return np.array(out)
+
+
+def _same(t, a, b, length):
+    """``_equal`` for symbols of any size."""
+    import numpy as np
+
+    same, todo, last = np.ones(len(a), bool), np.arange(len(a)), len(t) - 1
+    for k in range(int(length.max()) if len(length) else 0):
+        todo = todo[length[todo] > k]
+        if not len(todo):
+            break
+        eq = t[np.minimum(a[todo] + k, last)] == t[np.minimum(b[todo] + k, last)]
+        same[todo[~eq]] = False
+        todo = todo[eq]
+    return same
+
+
+def suffix_array(t):
+    """Positions of ``t`` (symbols from 0; the last one the unique smallest) in the order of their suffixes."""
     import numpy as np
 
     sigma = int(t.max()) + 1
@@ -112,22 +154,14 @@ def suffix_array(t, depth: int):
     until = np.full(len(t), 0)
     until[lms] = np.r_[lms[1:], len(t) - 1]  # where the substring ends: at the next leftmost smaller position
     length = until[by_substring] - by_substring + 1
-    words = words_at(t)
-    new = np.r_[True, ~((length[1:] == length[:-1]) & _equal(words, by_substring[1:], by_substring[:-1], np.minimum(length[1:], length[:-1])))]
-    name = np.cumsum(new) - 1
-    where = np.full(len(t), -1)
-    where[lms] = np.arange(len(lms))
-    rank = np.empty(len(lms), np.int64)
-    rank[where[by_substring]] = name
-    reach, top = 1, int(name[-1]) + 1
-    while top < len(lms) and 2 * reach <= 2 * depth:  # a substring and its neighbour share one symbol: at least one new each
-        key = rank * (len(lms) + 1) + np.r_[rank[reach:] + 1, np.zeros(min(reach, len(rank)), np.int64)][: len(rank)]
-        o = np.argsort(key, kind="stable")
-        up = np.r_[False, key[o][1:] != key[o][:-1]]
-        rank = np.empty(len(lms), np.int64)
-        rank[o] = np.cumsum(up)
-        top, reach = int(up.sum()) + 1, reach * 2
-    return induce(t, lms[np.argsort(rank, kind="stable")], sigma)
+    a, b, least = by_substring[1:], by_substring[:-1], np.minimum(length[1:], length[:-1])
+    agree = _equal(words_at(t), a, b, least) if t.dtype == np.uint8 else _same(t, a, b, least)
+    name = np.cumsum(np.r_[True, ~((length[1:] == length[:-1]) & agree)]) - 1
+    if int(name[-1]) + 1 == len(lms):
+        return induce(t, by_substring, sigma)
+    names = np.empty(len(t), np.int64)
+    names[by_substring] = name
+    return induce(t, lms[suffix_array(names[lms])], sigma)
 
 
 def common_prefixes(t, order, most: int):

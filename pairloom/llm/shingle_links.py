@@ -122,7 +122,8 @@ def similar_classes(rows: DataFrame, known: DataFrame, shingle: int = 5, similar
     keys = sketch.select("v", F.posexplode("bands").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.min("v").alias("c"), F.count("*").alias("n")).filter("n > 1")
     met = materialise(keys.join(shared, ["t", "key"]))
-    sets = sketch.select("v", "grams")
+    # texts that share no block travel no further
+    sets = materialise(sketch.select("v", "grams").join(met.select("v").distinct(), "v", "left_semi"))
     pairs = met.filter("v <> c").select("v", "c").distinct().join(sets, "v").join(sets.select(F.col("v").alias("c"), F.col("grams").alias("other")), "c")
     a, b, both = F.size("grams"), F.size("other"), F.size(F.array_intersect("grams", "other"))
     near = (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9) & (both >= similarity * (a + b - both) - 1e-9)

@@ -190,12 +190,16 @@ def near_dedup(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str =
     Words are runs of anything but ASCII white space, with A-Z lower-cased; a text with fewer words than a shingle is
     one shingle, one without words has fingerprint zero and is linked like any other. Fingerprints link at ``radius``
     or fewer differing bits; component_id is the smallest id reachable. Repeated rows share a component; a row whose id
-    is null has its class's component; other columns are ignored whatever their names; an empty table gives no rows.
+    is null has its class's component, which is null if no row of it has an id; other columns are ignored whatever their names; an empty table gives no rows.
     """
     rows = materialise(fingerprints(docs, shingle, id_col, text_col))
-    vertices = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("v")).filter("v is not null"))
+    top = rows.agg(F.coalesce(F.max("doc_id"), F.lit(-1)).alias("top")).first()["top"]
+    # a fingerprint that only rows without id have is a vertex behind all ids: links lead through it
+    spare = F.lit(top) + 1 + F.monotonically_increasing_id()
+    vertices = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("v")).withColumn("v", F.coalesce("v", spare)))
     labels = connected_components(links(vertices, radius))
-    classes = vertices.join(labels, "v", "left").select("fp", F.coalesce("label", "v").alias("component_id"))
+    label = F.coalesce("label", "v")
+    classes = vertices.join(labels, "v", "left").select("fp", F.when(label <= top, label).alias("component_id"))
     out = rows.join(classes, "fp", "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -204,20 +208,19 @@ def drop_near(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: fl
     """The rows of ``docs``, all columns, one of each near-duplicate class: that with the smallest id.
 
     Two texts link if their fingerprints differ in ``radius`` or fewer bits, or if their sets of ``similarity_shingle``
-    words have a Jaccard similarity of ``similarity`` or more (see ``shingle_links``). Rows that repeat an id are
-    judged each by its own text, and one row stays of those that share the smallest id; rows whose id is null stay. Null
-    texts are empty and link with each other.
+    words have a Jaccard similarity of ``similarity`` or more (see ``shingle_links``). Rows that repeat an id or have
+    none are judged each by its own text; null ids come behind all others, and one row stays of those that share the
+    smallest id. Null texts are empty and link with each other; column names are free; an empty table gives no rows.
     """
     docs, row = located(docs, id_col)
-    named = docs.filter(F.col(id_col).cast("long").isNotNull())
-    rows = named.select(F.col(row or id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(row or id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marked = materialise(fingerprints(rows, shingle))
     vertices = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("v")))
     copies = marked.join(vertices, "fp").filter("doc_id <> v").select(F.col("doc_id").alias("a"), F.col("v").alias("b"))
     classes = similar_classes(rows, copies.union(links(vertices, radius)), similarity_shingle, similarity)
     if row:
-        ids = named.select(F.col(row).alias("v"), F.col(id_col).cast("long").alias("id"))
-        first = classes.join(ids, "v").groupBy("label").agg(F.min(F.struct("id", "v")).alias("first")).select("label", F.col("first.v").alias("stays"))
+        ids = docs.select(F.col(row).alias("v"), F.col(id_col).cast("long").alias("id"))
+        first = classes.join(ids, "v").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "v")).alias("first")).select("label", F.col("first.v").alias("stays"))
         gone = classes.join(first, "label").filter("v <> stays").select(F.col("v").alias(row))
         return docs.join(gone, row, "left_anti").drop(row)
     gone = classes.filter("v <> label").select(F.col("v").alias("_gone_id"))

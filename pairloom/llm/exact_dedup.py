@@ -33,9 +33,9 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row
 
 def winners(rows: DataFrame) -> DataFrame:
     """digest, keep_id, keep_row, group_size: of each digest the row with the most code points, then the smallest id."""
-    best = F.struct("n_points", (-F.col("doc_id")).alias("minus_id"), "row")
+    best = F.struct("n_points", F.bitwise_not("doc_id").alias("minus_id"), "row")  # ~x falls as x rises, without overflow
     grouped = rows.groupBy("digest").agg(F.max(best).alias("best"), F.count("*").alias("group_size"))
-    return grouped.select("digest", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
+    return grouped.select("digest", F.bitwise_not("best.minus_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
 
 
 def hash_longs(*values):

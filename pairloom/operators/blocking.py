@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import tfidf
 from .sampling import hash_order, take, with_rank
 
 
 def shared_key_topk(df: DataFrame, keys: Column, k: int, id_col: str = "id", max_block: int | None = None) -> DataFrame:
     """i, j, shared, rank: the ``k`` rows that share most keys with each row; ties go to the smaller id.
 
-    ``max_block`` leaves out keys of more rows, which say little and cost the square of their rows.
+    Rows meet as tiles of blocks (see ``tfidf.topk``), so a key of all rows costs neither shuffle nor skew. ``max_block``
+    leaves out keys of more rows, which say little.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.explode(keys).alias("key"))
     if max_block:
         rows = rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") <= max_block).select("key"), "key", "left_semi")
-    a, b = rows.select(F.col("id").alias("i"), "key"), rows.select(F.col("id").alias("j"), "key")
-    counted = a.join(b, "key").filter("i <> j").groupBy("i", "j").agg(F.count("*").alias("shared"))
-    rank = F.row_number().over(Window.partitionBy("i").orderBy(F.col("shared").desc(), "j"))
-    return counted.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
+    held = rows.select("id", F.col("key").alias("term"), F.lit(1.0).alias("weight"))
+    n = df.count()
+    return tfidf.topk(held, held, k, exclude_self=True, sizes=(n, n)).select("i", "j", F.col("score").cast("long").alias("shared"), "rank")
 
 
 def key_block_pairs(df: DataFrame, keys: Column, seed, block_cap: int | None = 1000, id_col: str = "id") -> DataFrame:

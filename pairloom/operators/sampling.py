@@ -11,20 +11,28 @@ def hash_order(seed, *keys: str) -> list[Column]:
     return [F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))), *(F.col(k) for k in keys)]
 
 
-def with_rank(df: DataFrame, seed, keys: list[str], by: list[str] | None = None, name: str = "_rank") -> DataFrame:
-    """``df`` with the 1-based place of each row in the permutation, within ``by`` if given.
+def with_rank(df: DataFrame, seed, keys: list[str], by: list[str] | None = None, name: str = "_rank", few: bool = False, total: str | None = None) -> DataFrame:
+    """``df`` with the 1-based place of each row in the permutation, within ``by`` if given; ``total`` names their number.
 
-    Without ``by`` the place is computed without a one-task sort: rows are dealt to 4096 buckets by their hash's first
-    three digits, ranked within and offset by the sizes of the buckets before.
+    Without ``by``, or where it has ``few`` values (labels, splits), the place is computed without a one-task sort: rows
+    are dealt to 4096 buckets by their hash's first three digits, ranked within and offset by the sizes of the buckets
+    before.
     """
-    if by:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*hash_order(seed, *keys))))
     order = hash_order(seed, *keys)
+    if by and not few:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    by = by or []
     dealt = df.withColumn("_h", order[0]).withColumn("_bucket", F.substring("_h", 1, 3))
-    sizes = dealt.groupBy("_bucket").agg(F.count("*").alias("_n"))  # 4096 rows at most
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).drop("_n")
-    ranked = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_bucket").orderBy("_h", *order[1:])))
-    return ranked.join(F.broadcast(before), "_bucket").withColumn(name, F.col("_own") + F.col("_before")).drop("_h", "_bucket", "_own", "_before")
+    sizes = dealt.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))  # 4096 rows at most for each value of ``by``
+    whole = Window.partitionBy(*by)
+    before = sizes.withColumn("_before", F.sum("_n").over(whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n"))
+    before = before.withColumn("_total", F.sum("_n").over(whole)).select(*(F.col(c).alias(f"_by_{c}") for c in by), F.col("_bucket").alias("_of"), "_before", "_total")
+    ranked = dealt.withColumn("_own", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_h", *order[1:])))
+    same = F.col("_bucket") == F.col("_of")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    out = ranked.join(F.broadcast(before), same).withColumn(name, F.col("_own") + F.col("_before"))
+    return out.select(*df.columns, name, *([F.col("_total").alias(total)] if total else []))
 
 
 def take(df: DataFrame, n: int, seed, keys: list[str], by: list[str] | None = None) -> DataFrame:
@@ -47,8 +55,8 @@ def _label_split(rank: Column, train: Column, valid: Column) -> Column:
 
 def random_split(df: DataFrame, seed, keys: list[str], train: float = 0.8, valid: float = 0.1, least: int = 0) -> DataFrame:
     """``df`` with ``split``: the floors of the shares, ``least`` rows at least in train and valid, the rest is test."""
-    n = df.count()
-    return with_rank(df, seed, keys).withColumn("split", _label_split(F.col("_rank"), F.lit(max(least, int(n * train))), F.lit(max(least, int(n * valid))))).drop("_rank")
+    share = lambda x: F.greatest(F.lit(least).cast("long"), F.floor(F.col("_n") * F.lit(x)))
+    return with_rank(df, seed, keys, total="_n").withColumn("split", _label_split(F.col("_rank"), share(train), share(valid))).drop("_rank", "_n")
 
 
 def guarded_split(df: DataFrame, seed, keys: list[str], label: str = "label", train: float = 0.8, valid: float = 0.1) -> DataFrame:
@@ -67,8 +75,7 @@ def size_matched(a: DataFrame, b: DataFrame, seed, keys: list[str]) -> tuple[Dat
 
 def stratified_split(df: DataFrame, seed, keys: list[str], label: str = "label", train: float = 0.8, valid: float = 0.1) -> DataFrame:
     """``df`` with ``split``, split within each label; each label has a training row at least."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
-    ranked = with_rank(df, seed, keys, [label]).join(sizes, label)
+    ranked = with_rank(df.filter(F.col(label).isNotNull()), seed, keys, [label], few=True, total="_n")
     n_train = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(train)))
     return ranked.withColumn("split", _label_split(F.col("_rank"), n_train, F.floor(F.col("_n") * F.lit(valid)))).select(*df.columns, "split")
 
@@ -107,10 +114,24 @@ def balance(df: DataFrame, total: int, most_per_positive: int, seed, keys: list[
 
 
 def diverse_clusters(sizes: DataFrame, n: int, bins: int, seed) -> DataFrame:
-    """cluster, bin of ``n`` clusters spread over ``bins`` equal bins by size (``sizes``: cluster, n)."""
-    binned = sizes.withColumn("bin", F.ntile(bins).over(Window.orderBy("n", "cluster")))  # a row a cluster
+    """cluster, bin of ``n`` clusters spread over ``bins`` equal bins by size (``sizes``: cluster, n).
+
+    The bins are cut where a single sort by size and name would cut them, without such a sort: only the sizes that
+    straddle a border are ranked by name.
+    """
+    counts = sizes.groupBy("n").agg(F.count("*").alias("_k"))  # a row for each distinct size
+    every = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = counts.withColumn("_lo", F.sum("_k").over(every) - F.col("_k")).withColumn("_total", F.sum("_k").over(Window.partitionBy()))
+    size, more = F.floor(F.col("_total") / bins), F.col("_total") % bins
+    wide = more * (size + 1)  # the first bins have one more
+    of = lambda place: F.when(place < wide, F.floor(place / (size + 1))).otherwise(more + F.floor((place - wide) / F.greatest(size, F.lit(1)))).cast("int") + 1
+    runs = runs.withColumn("_first", of(F.col("_lo"))).withColumn("_last", of(F.col("_lo") + F.col("_k") - 1))
+    placed = sizes.join(runs, "n")
+    inside = placed.filter("_first = _last").select("cluster", F.col("_first").alias("bin"))
+    rank = F.row_number().over(Window.partitionBy("n").orderBy("cluster")) - 1
+    across = placed.filter("_first < _last").withColumn("bin", of(F.col("_lo") + rank)).select("cluster", "bin")
     quota = F.lit(n // bins) + F.when(F.col("bin") <= n % bins, 1).otherwise(0)
-    return with_rank(binned, seed, ["cluster"], ["bin"]).filter(F.col("_rank") <= quota).select("cluster", "bin")
+    return with_rank(inside.union(across), seed, ["cluster"], ["bin"], few=True).filter(F.col("_rank") <= quota).select("cluster", "bin")
 
 
 def naive_pairs(ids: DataFrame, m: int, seed, id_col: str) -> DataFrame:

@@ -10,13 +10,13 @@ from ..functions.text import word_tokens
 from .vectors import select_top, table
 
 BLOCK = 2048
+_COMMON = 1 << 15
 _PACKED = "block long, ids binary, terms array<string>, starts binary, docs binary, weights binary"
 
 
-def spread(df: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
-    """``df`` dealt over all cores if Catalyst knows it as small: such a table may lie in a single row group, one task."""
-    small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= max_bytes
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if small else df
+def spread(df: DataFrame, files: int = 8) -> DataFrame:
+    """``df`` dealt over the shuffle partitions if it comes from few files, whose one row group each would be one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if len(df.inputFiles()) < files else df
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -56,6 +56,17 @@ def _pack(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(cols, ["block", "ids", "terms", "starts", "docs", "weights"])
 
 
+def _dense(rows: int, terms, starts, docs, weights):
+    """The postings of ``terms`` as a matrix, a column a term."""
+    import numpy as np
+
+    out = np.zeros((rows, len(terms)))
+    for c, t in enumerate(terms.tolist()):
+        own = slice(starts[t], starts[t + 1])
+        out[docs[own], c] = weights[own]
+    return out
+
+
 def _tile(k: int, exclude_self: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         import numpy as np
@@ -68,8 +79,15 @@ def _tile(k: int, exclude_self: bool):
         (qids, ls, ld, lw), (ids, rs, rd, rw) = ((read(t, "ids", "<i8"), read(t, "starts", "<i8"), read(t, "docs", "<i4"), read(t, "weights", "<f8")) for t in (left, right))
         score = np.zeros((len(qids), len(ids)))
         at = pc.fill_null(pc.index_in(right.column("terms")[0].values, value_set=left.column("terms")[0].values), -1).to_numpy(zero_copy_only=False)
-        for r in np.flatnonzero(at >= 0).tolist():
-            a, b = slice(ls[at[r]], ls[at[r] + 1]), slice(rs[r], rs[r + 1])
+        both = np.flatnonzero(at >= 0)
+        mine = at[both]
+        work = (ls[mine + 1] - ls[mine]) * (rs[both + 1] - rs[both])
+        common = work > _COMMON  # a column of a matrix product each; the others add their postings' products
+        for s in range(0, int(common.sum()), 512):
+            m, r = mine[common][s : s + 512], both[common][s : s + 512]
+            score += _dense(len(qids), m, ls, ld, lw) @ _dense(len(ids), r, rs, rd, rw).T
+        for m, r in zip(mine[~common].tolist(), both[~common].tolist(), strict=True):
+            a, b = slice(ls[m], ls[m + 1]), slice(rs[r], rs[r + 1])
             score[ld[a, None], rd[b]] += lw[a, None] * rw[b]
         for s in range(0, len(qids), 512):
             part = score[s : s + 512]

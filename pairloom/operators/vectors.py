@@ -9,29 +9,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
-_SCHEMA = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("unit", pa.binary())])
+_PACKED = "block long, dim int, ids binary, unit binary"
 
 
-def _blocks(rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        from pyspark import TaskContext
-
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, v = batch.column("id").to_numpy(), batch.column("vec")
-            sizes = np.asarray(v.value_lengths())
-            flat, ends = v.flatten().to_numpy().astype(np.float64), np.cumsum(sizes)
-            for d in np.unique(sizes).tolist():
-                own = np.flatnonzero(sizes == d)
-                for k in range(0, len(own), rows):
-                    at = own[k : k + rows]
-                    m = flat[(ends[at] - d)[:, None] + np.arange(d)]
-                    m = m / (np.sqrt((m * m).sum(1, keepdims=True)) + 1e-8)
-                    yield pa.RecordBatch.from_pylist([{"block": block, "dim": d, "ids": ids[at].astype("<i8").tobytes(), "unit": m.tobytes()}], _SCHEMA)
-                    block += 1
+def _pack(rows: pa.Table) -> pa.Table:
+    """One row for each vector length of a block: its ids and unit vectors."""
+    import numpy as np
 
-    return run
+    ids, v, out = rows.column("id").to_numpy(), rows.column("vec").combine_chunks(), []
+    sizes = np.asarray(v.value_lengths())
+    flat, ends = v.flatten().to_numpy().astype(np.float64), np.cumsum(sizes)
+    for d in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == d)
+        m = flat[(ends[at] - d)[:, None] + np.arange(d)]
+        m = m / (np.sqrt((m * m).sum(1, keepdims=True)) + 1e-8)
+        out.append({"block": rows.column("block")[0].as_py(), "dim": d, "ids": ids[at].astype("<i8").tobytes(), "unit": m.tobytes()})
+    return pa.Table.from_pylist(out, pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("unit", pa.binary())]))
 
 
 def select_top(score, qids, ids, k: int):
@@ -77,6 +70,8 @@ def _tile(k: int, exclude_self: bool):
         for c in left.to_pylist():
             ids, m = np.frombuffer(c["ids"], "<i8"), np.frombuffer(c["unit"]).reshape(-1, c["dim"])
             for a in right.to_pylist():
+                if a["dim"] != c["dim"]:
+                    continue
                 qids, q = np.frombuffer(a["ids"], "<i8"), np.frombuffer(a["unit"]).reshape(-1, c["dim"])
                 for x, y in zip(out, _best(q, qids, m, ids, k, exclude_self), strict=True):
                     x += y
@@ -109,16 +104,18 @@ def _top(df: DataFrame, k: int) -> DataFrame:
 def dense_topk(corpus: DataFrame, k: int, anchors: DataFrame | None = None, exclude_self: bool = True, block: int = BLOCK) -> DataFrame:
     """i, j, score, rank: for each anchor its ``k`` most similar rows of ``corpus`` (id, vec), by cosine to 6 places.
 
-    Anchors default to the corpus. Blocks of rows meet as matrix tiles, one group of bounded size each, and every tile
-    sends k rows an anchor on. Ties go to the smaller id; null vectors take no part; fewer rows give fewer neighbours.
+    Anchors default to the corpus. Rows are dealt to blocks of about ``block`` by a hash of their id; blocks meet as
+    matrix tiles, one group of bounded size each, and every tile sends k rows an anchor on. Ties go to the smaller id;
+    null vectors take no part; fewer rows give fewer neighbours.
     """
     pick = lambda df: df.select(F.col("id").cast("long").alias("id"), "vec").filter("id is not null and vec is not null")
-    left = pick(corpus).mapInArrow(_blocks(block), "block long, dim int, ids binary, unit binary")
-    right = pick(corpus if anchors is None else anchors).mapInArrow(_blocks(block), "block long, dim int, ids binary, unit binary").toDF("a", "d", "qids", "q")
-    places = left.select(F.col("block").alias("p"), F.col("dim").alias("pd"))
-    met = right.join(places, F.col("d") == F.col("pd")).select(F.col("p"), F.col("a"), F.col("qids").alias("ids"), F.col("q").alias("unit"))
-    tiles = left.join(right.select(F.col("a").alias("ta"), F.col("d").alias("td")), F.col("dim") == F.col("td")).select("block", "ta", "dim", "ids", "unit")
-    found = tiles.groupBy("block", "ta").cogroup(met.groupBy("p", "a")).applyInArrow(_tile(k, exclude_self), "i long, j long, score double")
+    rows, asked = pick(corpus), pick(corpus if anchors is None else anchors)
+    n_left = max(1, -(-rows.count() // block))
+    n_right = n_left if anchors is None else max(1, -(-asked.count() // block))
+    pack = lambda df, n: df.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n))).groupBy("block").applyInArrow(_pack, _PACKED)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("other")
+    left, right = pack(rows, n_left).select("*", every(n_right)), pack(asked, n_right).select("*", every(n_left))
+    found = left.groupBy("block", "other").cogroup(right.groupBy("other", "block")).applyInArrow(_tile(k, exclude_self), "i long, j long, score double")
     return _top(found, k)
 
 

@@ -467,7 +467,7 @@ def random_split_least(spark, sf):
 
 @query(f"{STRAT} SELECT i, j, split, CAST(row_number() OVER (PARTITION BY split ORDER BY {H}, i, j) AS INTEGER) AS place FROM sp")
 def shuffled_within_split(spark, sf):
-    return sampling.with_rank(stratified_split(spark, sf), SEED, ["i", "j"], ["split"], "place").select("i", "j", "split", F.col("place").cast("int").alias("place"))
+    return sampling.with_rank(stratified_split(spark, sf), SEED, ["i", "j"], ["split"], "place", few=True).select("i", "j", "split", F.col("place").cast("int").alias("place"))
 
 
 @query("""WITH z AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1), e AS (SELECT min(n) AS lo, max(n) AS hi FROM z)

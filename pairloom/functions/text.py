@@ -26,10 +26,13 @@ def record_text(fields: list[str], prefix: str = "") -> Column:
     return F.concat_ws(" ", *parts)
 
 
-def record_text_except(columns: list[str], skip: list[str]) -> Column:
-    """Record text of all ``columns`` but ``skip``, compared without case."""
+def record_text_except(columns: list[str], skip: list[str], strip_only: bool = False) -> Column:
+    """Record text of all ``columns`` but ``skip``, compared without case; ``strip_only`` leaves inner white space as it is."""
     left_out = {s.lower() for s in skip}
-    return record_text([c for c in columns if c.lower() not in left_out])
+    kept = [c for c in columns if c.lower() not in left_out]
+    if not strip_only:
+        return record_text(kept)
+    return F.concat_ws(" ", *(F.concat(F.lit(f"COL {c} VAL "), F.trim(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")))) for c in kept))
 
 
 def tagged_record_text(table: str, id_col: str, fields: list[str]) -> Column:
@@ -58,12 +61,6 @@ def word_tokens(c: Column, least: int = 1, distinct: bool = True) -> Column:
     return F.array_distinct(found) if distinct else found
 
 
-def l2_normalise(v: Column, eps: float = 1e-8) -> Column:
-    """Vector over its length plus ``eps``."""
-    size = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))) + F.lit(eps)
-    return F.transform(v, lambda x: x.cast("double") / size)
-
-
 def mask_words(text: Column, mask: Column, token: str = "[MASK]") -> Column:
     """Words whose entry in ``mask`` is 0 replaced by ``token``."""
     return F.concat_ws(" ", F.transform(F.split(text, " "), lambda w, i: F.when(F.get(mask, i) == 1, w).otherwise(F.lit(token))))

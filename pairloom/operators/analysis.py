@@ -14,6 +14,24 @@ def casebook(df: DataFrame, per_class: int, seed, label: str = "label", pred: st
     return take(df.withColumn("source", outcome(F.coalesce(F.col(label), F.lit(0)), F.col(pred))), per_class, seed, ["i", "j"], ["source"])
 
 
+def casebook_order(source) -> object:
+    """Sort key of a casebook: FP, FN, TP, TN."""
+    return F.array_position(F.array(*(F.lit(x) for x in ("FP", "FN", "TP", "TN"))), source)
+
+
+def full_casebook(df: DataFrame, per_class: int, seed, label: str = "label", pred: str = "pred") -> DataFrame:
+    """``casebook`` in the order FP, FN, TP, TN, then by pair; a ValueError if no outcome has a row."""
+    book = casebook(df, per_class, seed, label, pred)
+    if book.isEmpty():
+        raise ValueError("no outcome has a row")
+    return book.orderBy(casebook_order(F.col("source")), "i", "j")
+
+
+def source_counts(book: DataFrame) -> DataFrame:
+    """source, n of a casebook."""
+    return book.groupBy("source").agg(F.count("*").alias("n"))
+
+
 def counterfactuals(pairs: DataFrame, text1: str = "text1", text2: str = "text2") -> DataFrame:
     """idx, variation, text1, text2: the pair, without the last word of text1, with a country added to text2, in capitals."""
     words = F.split(F.col(text1), " ")

@@ -88,6 +88,13 @@ def cluster_stats(df: DataFrame, cluster: str, name: str, key: str) -> DataFrame
     return df.groupBy(F.col(cluster).alias("cluster")).agg(F.count("*").alias("n"), F.min_by(name, key).alias("example"))
 
 
+def cluster_size_summary(df: DataFrame, cluster: str) -> DataFrame:
+    """One row: n_clusters, min_size, max_size, mean_size, median_size; rows without a cluster are left out."""
+    sizes = df.filter(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.count("*").alias("n"))
+    n = F.col("n").cast("double")
+    return sizes.agg(F.count("*").alias("n_clusters"), F.min("n").alias("min_size"), F.max("n").alias("max_size"), F.round(F.avg(n), 6).alias("mean_size"), F.percentile(n, F.lit(0.5)).alias("median_size"))
+
+
 def label_shuffle(df: DataFrame, seed, label: str = "label", pred: str = "pred") -> DataFrame:
     """real_f1, real_accuracy, shuffled_f1, shuffled_accuracy: the labels permuted by a hash order against the predictions."""
     from .sampling import with_rank

@@ -20,6 +20,14 @@ def combine(a: DataFrame, b: DataFrame, mode: str = "union") -> DataFrame:
     return modes[mode]()
 
 
+def combine_ids(a: DataFrame, b: DataFrame, mode: str = "union") -> DataFrame:
+    """Distinct ``union``, ``intersection`` or ``difference`` of two tables of one column; also of truth pairs."""
+    modes = {"union": lambda: a.union(b).distinct(), "intersection": lambda: a.intersect(b), "difference": lambda: a.distinct().join(b, a.columns, "left_anti")}
+    if mode not in modes:
+        raise ValueError(f"unknown mode {mode!r}; one of {sorted(modes)}")
+    return modes[mode]()
+
+
 def assert_disjoint(*tables: DataFrame) -> None:
     """A ValueError if two of the tables share a row; only one shared row is looked for."""
     for k, a in enumerate(tables):

@@ -98,6 +98,32 @@ def diverse_pairs(records: DataFrame, n: int, bins: int, k: int, seed=7, encoder
     return sampling.stratified_split(pairs.label_by_cluster(near, records.select("id", "cluster"), "equal_nonzero"), seed, ["i", "j"])
 
 
+def ann_pairs(records: DataFrame, k: int, target: int | None = None, seed=7, encoder: Encoder = encode.hashed_tfidf, centroids: DataFrame | None = None, probes: int | None = None, anchors: DataFrame | None = None) -> DataFrame:
+    """i, j (i < j), label, split: approximate neighbours, each pair once, ``target`` of them by hash if given.
+
+    Cells and probes are chosen as in the batch pipeline if not given: the least probes with a measured recall of 0.9.
+    """
+    v = encoder(records)
+    asking = v if anchors is None else v.join(anchors.select("id"), "id", "left_semi")
+    if centroids is None:
+        cells = max(1, min(4096, int(v.count() ** 0.5)))
+        centroids = vectors.kmeans_centroids(v, cells, 64 * cells, seed)
+    probes = probes or vectors.probes_for(v, k, centroids, asking, seed=seed)[0]
+    found = pairs.unordered(vectors.cell_topk(v, k, centroids, probes, anchors=asking))
+    found = found if target is None else sampling.take(found, target, seed, ["i", "j"])
+    return sampling.guarded_split(pairs.label_by_cluster(found, records.select("id", "cluster")), seed, ["i", "j"])
+
+
+def quota_report(records: DataFrame, chosen: DataFrame, model, name: str = "name") -> DataFrame:
+    """query and candidate names, texts, score, is_match, prob, pred of quota retrieval's rows, by a trained scorer.
+
+    ``records``: id, text and ``name``; ``chosen`` as ``quota_queries`` gives it.
+    """
+    a, b = records.select(F.col("id").alias("i"), F.col(name).alias("query_name")), records.select(F.col("id").alias("j"), F.col(name).alias("candidate_name"))
+    made = scoring.pair_features(pairs.lookup_texts(chosen, records.select("id", "text")).join(a, "i").join(b, "j"))
+    return scoring.score(model, made).select("i", "j", "rank", "query_name", "candidate_name", "text1", "text2", "score", "is_match", "prob", "pred")
+
+
 def compare(train_sets: dict[str, DataFrame], valid: DataFrame, test: DataFrame, features: list[str]) -> DataFrame:
     """name, tp, ... f1, accuracy on ``test`` of a classifier trained on each train set with the same ``valid``.
 

@@ -60,9 +60,10 @@ def _gold(spark: SparkSession, d: Dataset) -> DataFrame:
 
 
 def gold(spark: SparkSession, d: Dataset) -> None:
-    standard = read_csv(spark, d.standard) if d.standard else None
-    out = build_gold(read_csv(spark, d.raw), standard, list(d.text_fields), d.canonical_col, d.raw_key, d.standard_key)
-    out.withColumn("id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(d.gold)
+    standard = read_csv(spark, d.standard, multi_line=d.multi_line) if d.standard else None
+    out = build_gold(read_csv(spark, d.raw, multi_line=d.multi_line), standard, list(d.text_fields), d.canonical_col, d.raw_key, d.standard_key)
+    out = sampling.with_rank(out, d.seed, [d.canonical_col, *dict.fromkeys(d.text_fields)], name="id")
+    out.write.mode("overwrite").parquet(d.gold)
 
 
 def splits(spark: SparkSession, d: Dataset) -> None:
@@ -74,11 +75,11 @@ def splits(spark: SparkSession, d: Dataset) -> None:
 
 
 def predict_pairs(spark: SparkSession, d: Dataset) -> None:
-    new = read_csv(spark, d.predict)
+    new = read_csv(spark, d.predict, multi_line=d.multi_line)
     if new.isEmpty():
         raise ValueError("nothing to predict")
     have = [F.coalesce(F.col(f), F.lit("")).alias(f) if f in new.columns else F.lit("").alias(f) for f in d.text_fields]
-    asked = new.select(F.monotonically_increasing_id().alias("id"), *have).select("id", record_text(list(d.text_fields)).alias("text"))
+    asked = sampling.with_rank(new.select(*have), d.seed, list(dict.fromkeys(d.text_fields)), name="id").select("id", record_text(list(d.text_fields)).alias("text"))
     records = _gold(spark, d)
     both = tfidf.term_counts(asked.select((-1 - F.col("id")).alias("id"), "text").union(records.select("id", "text")), "id", "text")
     w = tfidf.weights(both, tfidf.vocabulary(both, asked.count() + records.count()))

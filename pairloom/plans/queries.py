@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import analysis, blocking, metrics, pairs, sampling, scoring, tfidf, vectors
+from ..sources import readers, writers
+from ..sources.scratch import materialise, scratch_dir
 from . import builders, gold
 
 SEED = 7
+FEATURES = ["f_words", "f_grams", "f_edit", "f_length"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -54,7 +57,8 @@ def _scored(spark, sf) -> DataFrame:
 
 
 def _names(spark, sf) -> DataFrame:
-    return _t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("id"))
+    """Every customer with a text of its own."""
+    return _t(spark, sf, "customer").select(F.concat_ws(" ", "c_name", "c_mktsegment").alias("name"), F.col("c_custkey").alias("id"))
 
 
 V = "v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, CAST(label AS BIGINT) AS cluster FROM embeddings)"
@@ -62,7 +66,7 @@ S = "s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e),
 D = f"{V}, {S}, d AS (SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s QUALIFY rank <= 5)"
 L = f"{D}, l AS (SELECT i, j, CAST(a.cluster = b.cluster AS INTEGER) AS label, round((1 + score) / 2, 6) AS prob FROM d JOIN v a ON a.id = i JOIN v b ON b.id = j)"
 P = f"{L}, p AS (SELECT *, CAST(prob >= 0.75 AS INTEGER) AS pred FROM l)"
-N = "nm AS (SELECT p_name AS name, min(p_partkey) AS id FROM part GROUP BY 1)"
+N = "nm AS (SELECT concat_ws(' ', c_name, c_mktsegment) AS name, c_custkey AS id FROM customer)"
 H = "md5(concat_ws('|', '7', CAST(i AS VARCHAR), CAST(j AS VARCHAR)))"
 NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x0b\x{{00a0}}\x{{3000}}]+', ' ', 'g'))"
 SCORES = """round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / CAST(tp + fp AS DOUBLE) END, 6) AS precision,
@@ -160,11 +164,12 @@ def dense_topk_anchors(spark, sf):
     return vectors.dense_topk(v, 5, anchors=sampling.anchors(v, 250, 5, SEED, "id")).select("i", "j", "rank")
 
 
-@query(f"""WITH {V}, s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a, v b)
+@query(f"""WITH {V}, s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a, v b WHERE a.id % 2 = 1 AND b.id % 2 = 0)
   SELECT i, j, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM s QUALIFY rank <= 5""")
 def dense_topk_predict(spark, sf):
+    """Odd ids ask the table of the even ones."""
     v = _vectors(spark, sf)
-    return vectors.dense_topk(v, 5, anchors=v, exclude_self=False).select("i", "j", "rank")
+    return vectors.dense_topk(v.filter("id % 2 = 0"), 5, anchors=v.filter("id % 2 = 1"), exclude_self=False).select("i", "j", "rank")
 
 
 @query(f"""WITH {V}, c AS (SELECT id, e FROM v ORDER BY {ANCHOR}, id LIMIT 16),
@@ -176,17 +181,17 @@ def ann_topk(spark, sf):
     return vectors.cell_topk(v, 5, sampling.take(v, 16, SEED, ["id"]), probes=12).select("i", "j", "rank")
 
 
-def _tfidf_sql(extra: str = "") -> str:
+def _tfidf_sql(extra: str = "", min_df: int = 2, most: str = "") -> str:
     return f"""t AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM docs) GROUP BY 1, 2),
-  n AS (SELECT count(*) AS n FROM docs), f AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
-  vo AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM f, n WHERE df >= 2 AND df <= 0.1 * n),
+  n AS (SELECT count(*) AS n FROM docs), f AS (SELECT term, count(*) AS df, sum(tf) AS total FROM t GROUP BY 1),
+  vo AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM f, n WHERE df >= {min_df} AND df <= CAST(0.95 AS DOUBLE) * n {most}),
   r AS (SELECT id, term, (ln(CAST(tf AS DOUBLE)) + 1.0) * idf AS w FROM t JOIN vo USING (term)),
   z AS (SELECT id, sqrt(sum(w * w)) AS len FROM r GROUP BY 1), ww AS (SELECT id, term, w / len AS weight FROM r JOIN z USING (id)){extra}"""
 
 
 def _weights(docs: DataFrame) -> DataFrame:
     counts = tfidf.term_counts(docs, "id", "text")
-    return tfidf.weights(counts, tfidf.vocabulary(counts, docs.count(), max_df=0.1))
+    return tfidf.weights(counts, tfidf.vocabulary(counts, docs.count()))
 
 
 def _docs(spark, sf) -> DataFrame:
@@ -290,14 +295,14 @@ def ratio_resample(spark, sf):
 
 
 @query(f"""WITH {V}, n AS (SELECT id, cluster, row_number() OVER (ORDER BY {ANCHOR}, id) AS k FROM v), m AS (SELECT count(*) AS m FROM v),
-  dr AS (SELECT CAST('0x' || substring(md5(concat_ws('|', '7', 'a', CAST(x AS VARCHAR))), 1, 8) AS BIGINT) % m + 1 AS a, CAST('0x' || substring(md5(concat_ws('|', '7', 'b', CAST(x AS VARCHAR))), 1, 8) AS BIGINT) % m + 1 AS b FROM range(2000) t(x), m),
+  dr AS (SELECT CAST('0x' || substring(md5(concat_ws('|', '7', 'a', CAST(x AS VARCHAR))), 1, 8) AS BIGINT) % m + 1 AS a, CAST('0x' || substring(md5(concat_ws('|', '7', 'b', CAST(x AS VARCHAR))), 1, 8) AS BIGINT) % m + 1 AS b FROM range(200000) t(x), m),
   pr AS (SELECT DISTINCT least(p.id, q.id) AS i, greatest(p.id, q.id) AS j FROM dr JOIN n p ON p.k = a JOIN n q ON q.k = b WHERE p.id <> q.id),
   l AS (SELECT i, j, CAST(a.cluster = b.cluster AS INTEGER) AS label FROM pr JOIN v a ON a.id = i JOIN v b ON b.id = j),
-  c AS (SELECT least(count(*) FILTER (label = 1), 500) AS p FROM l), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM l)
-  SELECT i, j, label FROM r, c WHERE (label = 1 AND k <= p) OR (label = 0 AND k <= greatest(p, least(p * 5, 1000 - p)))""")
+  c AS (SELECT least(count(*) FILTER (label = 1), 10000) AS p FROM l), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM l)
+  SELECT i, j, label FROM r, c WHERE (label = 1 AND k <= p) OR (label = 0 AND k <= greatest(p, least(p * 20, 20000 - p)))""")
 def naive_pairs_balanced(spark, sf):
-    drawn = sampling.naive_pairs(_vectors(spark, sf), 2000, SEED, "id")
-    return sampling.balance(pairs.label_by_cluster(drawn, _clusters(spark, sf)), 1000, 5, SEED, ["i", "j"])
+    drawn = sampling.naive_pairs(_vectors(spark, sf), 200_000, SEED, "id")
+    return sampling.balance(pairs.label_by_cluster(drawn, _clusters(spark, sf)), 20_000, 20, SEED, ["i", "j"])
 
 
 @query("""WITH z AS (SELECT o_custkey AS cluster, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT cluster, ntile(5) OVER (ORDER BY n, cluster) AS bin FROM z),
@@ -316,13 +321,13 @@ def exclude_test_clusters(spark, sf):
     return pairs.exclude_clusters(_clusters(spark, sf), test).select(F.col("id").alias("vec_id"))
 
 
-@query(f"""WITH {V}, {S}, d AS (SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s QUALIFY rank <= 30),
+@query(f"""WITH {V}, {S}, d AS (SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rank FROM s QUALIFY rank <= 5000),
   m AS (SELECT i, j, score, CAST(a.cluster = b.cluster AS INTEGER) AS is_match FROM d JOIN v a ON a.id = i JOIN v b ON b.id = j),
   c AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY i, is_match ORDER BY score DESC, j) <= CASE WHEN is_match = 1 THEN 3 ELSE 7 END THEN 1 ELSE 0 END AS chosen FROM m),
   f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY i ORDER BY chosen DESC, score DESC, j) <= 10)
   SELECT i, j, is_match, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM f""")
 def quota_topk(spark, sf):
-    pool = pairs.label_by_cluster(_dense(spark, sf, 30), _clusters(spark, sf)).withColumnRenamed("label", "is_match")
+    pool = pairs.label_by_cluster(_dense(spark, sf, 5000), _clusters(spark, sf)).withColumnRenamed("label", "is_match")
     return pairs.quota_topk(pool, 10).select("i", "j", "is_match", "rank")
 
 
@@ -402,7 +407,7 @@ def casebook(spark, sf):
 
 
 def _name_pairs(spark, sf) -> DataFrame:
-    """idx, text1, text2: every distinct part name with its nearest by 3-grams."""
+    """idx, text1, text2: every customer's text with the nearest by 3-grams."""
     near = ngram_topk(spark, sf).filter("rank = 1").select("i", "j")
     return pairs.lookup_texts(near, _names(spark, sf).select("id", F.col("name").alias("text"))).select(F.col("i").alias("idx"), "text1", "text2")
 
@@ -419,17 +424,16 @@ def counterfactual_variants(spark, sf):
 def lr_scores(spark, sf):
     """A classifier of part records' text pairs, trained on a stratified split: i, j, prob, pred of the test rows."""
     records = _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), tx.record_text(["p_name", "p_brand", "p_type"]).alias("text"), F.col("p_name").alias("cluster"))
-    drawn = sampling.naive_pairs(records, 4000, SEED, "id")
-    labelled = scoring.pair_features(pairs.lookup_texts(pairs.label_by_cluster(drawn, records.select("id", "cluster"), "equal_nonempty"), records.select("id", "text")))
-    parts = sampling.stratified_split(labelled, SEED, ["i", "j"])
-    parts = parts.persist()
-    model, _ = scoring.train(parts.filter("split = 'train'"), parts.filter("split = 'valid'"), ["f_words", "f_grams", "f_edit", "f_length"])
+    drawn = pairs.label_by_cluster(sampling.naive_pairs(records, 200_000, SEED, "id"), records.select("id", "cluster"), "equal_nonempty")
+    chosen = sampling.balance(drawn, 20_000, 20, SEED, ["i", "j"])
+    parts = materialise(sampling.stratified_split(scoring.pair_features(pairs.lookup_texts(chosen, records.select("id", "text"))), SEED, ["i", "j"]))
+    model, _ = scoring.train(parts.filter("split = 'train'"), parts.filter("split = 'valid'"), FEATURES)
     return scoring.score(model, parts.filter("split = 'test'")).select("i", "j", "label", "prob", "pred")
 
 
 @query()
 def mask_importance(spark, sf):
-    """Weights of the words of part names for their 3-gram overlap with the nearest name."""
+    """Weights of the words of customers' texts for their 3-gram overlap with the nearest text."""
 
     def overlap(a, b):
         x, y = tx.char_ngrams(a, 3), tx.char_ngrams(b, 3)
@@ -534,14 +538,14 @@ def two_table_pairs(spark, sf):
 
 @query(f"""WITH {V}, ok AS ({ORACLES['exclude_test_clusters']}), ask AS (SELECT vec_id AS id FROM ok ORDER BY md5(concat_ws('|', '7', CAST(vec_id AS VARCHAR))), vec_id LIMIT 5),
   s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score, CAST(a.cluster = b.cluster AS INTEGER) AS is_match FROM v a JOIN ask ON a.id = ask.id JOIN v b ON a.id <> b.id),
-  m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, j) <= 30),
+  m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, j) <= 5000),
   c AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY i, is_match ORDER BY score DESC, j) <= CASE WHEN is_match = 1 THEN 3 ELSE 7 END THEN 1 ELSE 0 END AS chosen FROM m),
   f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY i ORDER BY chosen DESC, score DESC, j) <= 10)
   SELECT i, j, is_match, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM f""")
 def quota_queries(spark, sf):
     v = _vectors(spark, sf)
     test = cluster_split(spark, sf).filter("split = 'test'").select("i", "j")
-    return builders.quota_queries(_clusters(spark, sf), test, 5, 10, SEED, pool=30, encoder=lambda _: v).select("i", "j", "is_match", "rank")
+    return builders.quota_queries(_clusters(spark, sf), test, 5, 10, SEED, encoder=lambda _: v).select("i", "j", "is_match", "rank")
 
 
 @query(f"""WITH {V}, z AS (SELECT cluster, count(*) AS n FROM v GROUP BY 1), bb AS (SELECT cluster, ntile(5) OVER (ORDER BY n, cluster) AS bin FROM z),
@@ -554,20 +558,20 @@ def diverse_pairs(spark, sf):
     return builders.diverse_pairs(_clusters(spark, sf), 10, 5, 10, SEED, lambda _: v)
 
 
-BRAND = "br AS (SELECT p_partkey AS id, p_brand AS cluster FROM part)"
+NATION = "br AS (SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS cluster FROM customer)"
 
 
-@query(f"""{TWO}, {BRAND}, u AS (SELECT * FROM a UNION SELECT * FROM b), h AS (SELECT i, j, CAST(x.cluster = y.cluster AND x.cluster <> '' AS INTEGER) AS label FROM u JOIN br x ON x.id = i JOIN br y ON y.id = j),
+@query(f"""{TWO}, {NATION}, u AS (SELECT * FROM a UNION SELECT * FROM b), h AS (SELECT i, j, CAST(x.cluster = y.cluster AND x.cluster <> '' AS INTEGER) AS label FROM u JOIN br x ON x.id = i JOIN br y ON y.id = j),
   np AS (SELECT count(*) AS p FROM h WHERE label = 1), rk AS (SELECT i, j, label, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM h), l AS (SELECT i, j, label FROM rk, np WHERE label = 1 OR k <= round_even(p * 0.8 / 0.2, 0)), {_strat('l')} SELECT * FROM sp""")
 def hybrid_dataset(spark, sf):
-    brands = _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("cluster"))
-    labelled = pairs.label_by_cluster(hybrid_union(spark, sf), brands, "equal_nonempty")
+    nations = _t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("cluster"))
+    labelled = pairs.label_by_cluster(hybrid_union(spark, sf), nations, "equal_nonempty")
     return sampling.stratified_split(sampling.ratio_resample(labelled, 0.2, SEED, ["i", "j"]), SEED, ["i", "j"])
 
 
 @query()
 def encoded_topk(spark, sf):
-    """Nearest distinct part names by hashed TF-IDF vectors."""
+    """Nearest customers by hashed TF-IDF vectors of their texts."""
     records = _names(spark, sf).select(F.col("id").cast("long").alias("id"), F.col("name").alias("text"))
     return vectors.dense_topk(builders.encode.hashed_tfidf(records), 5).select("i", "j", "rank")
 
@@ -581,10 +585,229 @@ def top_words(spark, sf):
 
 @query()
 def blocking_comparison(spark, sf):
-    """Test metrics of classifiers trained on n-gram, token and random pairs of distinct part names."""
+    """Test metrics of classifiers trained on n-gram, token, embedding and random pairs of customers; 20,000 pairs of each at most."""
     records = _names(spark, sf).select(F.col("id").cast("long").alias("id"), F.col("name").alias("text"), F.element_at(F.split("name", " "), -1).alias("cluster"))
-    made = lambda found: scoring.pair_features(pairs.lookup_texts(pairs.label_by_cluster(found, records.select("id", "cluster"), "equal_nonempty"), records.select("id", "text")))
-    near = made(ngram_topk(spark, sf).select("i", "j"))
-    parts = sampling.guarded_split(near, SEED, ["i", "j"]).persist()
-    sets = {"ngrams": parts.filter("split = 'train'"), "tokens": made(token_block_pairs(spark, sf)), "random": made(sampling.naive_pairs(records, 500, SEED, "id"))}
-    return builders.compare(sets, parts.filter("split = 'valid'"), parts.filter("split = 'test'"), ["f_words", "f_grams", "f_edit", "f_length"])
+
+    def made(found):
+        chosen = sampling.capped_resample(pairs.label_by_cluster(pairs.unordered(found), records.select("id", "cluster"), "equal_nonempty"), 0.5, 20_000, SEED, ["i", "j"])
+        return scoring.pair_features(pairs.lookup_texts(chosen, records.select("id", "text")))
+
+    parts = materialise(sampling.guarded_split(made(ngram_topk(spark, sf)), SEED, ["i", "j"]))
+    sets = {"ngrams": parts.filter("split = 'train'").drop("split"), "tokens": made(token_block_pairs(spark, sf)), "embeddings": made(builders.dense_candidates(records)), "random": made(sampling.naive_pairs(records, 200_000, SEED, "id"))}
+    return builders.compare({k: materialise(v) for k, v in sets.items()}, parts.filter("split = 'valid'"), parts.filter("split = 'test'"), FEATURES)
+
+
+@query("WITH z AS (SELECT count(*) AS n FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand) SELECT count(*) AS n_clusters, min(n) AS min_size, max(n) AS max_size, round(avg(n), 6) AS mean_size, quantile_cont(CAST(n AS DOUBLE), 0.5) AS median_size FROM z")
+def cluster_size_summary(spark, sf):
+    return metrics.cluster_size_summary(_t(spark, sf, "part"), "p_brand")
+
+
+@query(f"SELECT source, count(*) AS n FROM ({ORACLES['casebook']}) GROUP BY 1")
+def casebook_counts(spark, sf):
+    return analysis.source_counts(analysis.casebook(_scored(spark, sf), 20, SEED))
+
+
+@query(f"SELECT source, i, j, CAST(row_number() OVER (ORDER BY array_position(['FP', 'FN', 'TP', 'TN'], source), i, j) AS INTEGER) AS place FROM ({ORACLES['casebook']})")
+def ordered_casebook(spark, sf):
+    book = analysis.full_casebook(_scored(spark, sf), 20, SEED)  # 80 rows at most
+    place = F.row_number().over(Window.orderBy(analysis.casebook_order(F.col("source")), "i", "j"))
+    return book.select("source", "i", "j", place.cast("int").alias("place"))
+
+
+@query("SELECT doc_id FROM documents UNION SELECT doc_id FROM labels")
+def id_union(spark, sf):
+    return pairs.combine_ids(_t(spark, sf, "documents").select("doc_id"), _t(spark, sf, "labels").select("doc_id"))
+
+
+@query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
+def id_intersection(spark, sf):
+    return pairs.combine_ids(_t(spark, sf, "documents").select("doc_id"), _t(spark, sf, "labels").select("doc_id"), "intersection")
+
+
+@query(f"WITH {D} SELECT least(i, j) AS i, greatest(i, j) AS j FROM d WHERE rank <= 2 UNION SELECT id, id + 2 FROM v WHERE id % 2 = 0")
+def truth_union(spark, sf):
+    """The union of two sets of truth pairs."""
+    even = _vectors(spark, sf).filter("id % 2 = 0").select(F.col("id").alias("i"), (F.col("id") + 2).alias("j"))
+    return pairs.combine_ids(pairs.unordered(_dense(spark, sf).filter("rank <= 2")), pairs.unordered(even))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, 'customer' AS source FROM customer UNION ALL SELECT s_suppkey, s_name, 'supplier' FROM supplier")
+def bag_concat(spark, sf):
+    a = _t(spark, sf, "customer").select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return a.unionByName(_t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("supplier").alias("source")))
+
+
+@query(f"""WITH {V}, nn AS ({ORACLES['ann_topk']}), u AS (SELECT DISTINCT least(i, j) AS i, greatest(i, j) AS j FROM nn), t AS (SELECT i, j FROM u ORDER BY {H}, i, j LIMIT 500),
+  l AS (SELECT i, j, CAST(a.cluster = b.cluster AS INTEGER) AS label FROM t JOIN v a ON a.id = i JOIN v b ON b.id = j), {_strat('l')} SELECT * FROM sp""")
+def ann_dataset(spark, sf):
+    """Approximate neighbours as unordered pairs, 500 of them, labelled and split."""
+    v = _vectors(spark, sf)
+    return builders.ann_pairs(_clusters(spark, sf), 5, 500, SEED, lambda _: v, sampling.take(v, 16, SEED, ["id"]), 12)
+
+
+@query(f"WITH {D} SELECT i, j FROM d WHERE score >= 0.3")
+def dense_threshold_pairs(spark, sf):
+    v = _vectors(spark, sf)
+    return builders.dense_candidates(v, 5, lambda _: v, 0.3)
+
+
+@query(f"SELECT j AS i, i AS j FROM ({ORACLES['dense_topk_anchors']})")
+def neighbour_first_pairs(spark, sf):
+    """Pairs of sampled anchors, the neighbour first."""
+    return dense_topk_anchors(spark, sf).select(F.col("j").alias("i"), F.col("i").alias("j"))
+
+
+@query(f"WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 20), s AS (SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.id <> b.id) SELECT i, j, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS INTEGER) AS rank FROM s")
+def dense_topk_clamped(spark, sf):
+    """More neighbours asked than there are: all of them (the table is the first 20 ids, by design smaller than k)."""
+    return vectors.dense_topk(_vectors(spark, sf).filter("id < 20"), 10_000).select("i", "j", "rank")
+
+
+@query(f"WITH docs AS (SELECT doc_id AS id, text FROM documents), {_tfidf_sql(min_df=3, most='ORDER BY total DESC, term LIMIT 500')} SELECT id AS doc_id, term, round(weight, 6) AS weight FROM ww")
+def tfidf_max_features(spark, sf):
+    """Weights over the 500 most frequent of the terms in three documents or more."""
+    docs = _docs(spark, sf)
+    counts = tfidf.term_counts(docs, "id", "text")
+    held = tfidf.weights(counts, tfidf.vocabulary(counts, docs.count(), min_df=3, max_features=500))
+    return held.select(F.col("id").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
+
+
+@query("SELECT doc_id, min(lang) AS lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY 1 ORDER BY 1")
+def pool_records(spark, sf):
+    """Records of a pool of ids, one each, by id."""
+    docs = _t(spark, sf, "documents").select("doc_id", "lang").join(_t(spark, sf, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return gold.first_per_key(docs.withColumn("_key", F.col("doc_id").cast("string")), "_key", ["lang"]).select("doc_id", "lang").orderBy("doc_id")
+
+
+@query(f"SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS canonical_int, c_name, '' AS city, 'COL c_name VAL ' || {NORM.format('c_name')} || ' COL city VAL ' AS record_text FROM customer WHERE c_nationkey % 5 <> 0")
+def gold_own_clusters(spark, sf):
+    """Raw rows that have clusters use their own; a missing text field is empty."""
+    raw = _t(spark, sf, "customer").withColumn("canonical_int", F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")))
+    return gold.build_gold(raw, raw.select(F.lit("x").alias("name"), F.lit("1").alias("canonical_int")), ["c_name", "city"], keep=["c_custkey"])
+
+
+@query("SELECT c_custkey, len(list_distinct(list_transform(range(1, greatest(length(c_name) - 1, 1)), lambda k: substring(lower(c_name), k, 3)))) AS n_grams FROM customer")
+def plain_ngrams(spark, sf):
+    """Distinct 3-grams of texts as they are; shorter texts have none."""
+    return _t(spark, sf, "customer").select("c_custkey", F.size(tx.char_ngrams(F.col("c_name"), 3, strip=False, short="drop")).cast("long").alias("n_grams"))
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w, i: CASE WHEN (i + p_partkey) % 2 = 0 THEN w ELSE '[MASK]' END), ' ') AS masked FROM part")
+def masked_words(spark, sf):
+    mask = F.transform(F.split("p_name", " "), lambda w, i: F.when((i + 1 + F.col("p_partkey")) % 2 == 0, 1).otherwise(0))
+    return _t(spark, sf, "part").select("p_partkey", tx.mask_words(F.col("p_name"), mask).alias("masked"))
+
+
+@query("SELECT doc_id, 'COL text VAL ' || trim(coalesce(text, '')) || ' COL lang VAL ' || trim(coalesce(lang, '')) AS record_text FROM documents")
+def record_text_plain(spark, sf):
+    """Record text whose values keep their inner white space."""
+    docs = _t(spark, sf, "documents").select("doc_id", "text", "lang")
+    return docs.select("doc_id", tx.record_text_except(docs.columns, ["doc_id"], strip_only=True).alias("record_text"))
+
+
+@query(f"""WITH r AS (SELECT 'COL name VAL ' || {NORM.format('p_name')} AS text1, 'COL name VAL ' || {NORM.format('p_type')} AS text2, p_size % 2 AS label, p_partkey AS id FROM part WHERE p_size % 7 <> 0),
+  k AS (SELECT *, row_number() OVER (ORDER BY {ANCHOR}, id) AS k, count(*) OVER () AS n FROM r)
+  SELECT text1, text2, CAST(label AS INTEGER) AS label, CASE WHEN k <= greatest(1, floor(n * CAST(0.6 AS DOUBLE))) THEN 'train' WHEN k <= greatest(1, floor(n * CAST(0.6 AS DOUBLE))) + greatest(1, floor(n * CAST(0.2 AS DOUBLE))) THEN 'valid' ELSE 'test' END AS split FROM k""")
+def imported_pairs(spark, sf):
+    """A table of labelled pairs with prefixed columns; a seventh of the labels is no number."""
+    label = F.when(F.col("p_size") % 7 == 0, F.lit("x")).otherwise((F.col("p_size") % 2).cast("string"))
+    rows = _t(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("ltable.name"), F.col("p_type").alias("rtable.name"), label.alias("label"))
+    return builders.imported_pairs(rows, seed=SEED)
+
+
+@query(f"""WITH rec AS (SELECT vec_id AS id, c_name AS text, c_mktsegment AS cluster FROM embeddings JOIN customer ON vec_id = c_custkey), {V}, {S}, d AS (SELECT i, j FROM s WHERE i IN (SELECT id FROM rec) AND j IN (SELECT id FROM rec) QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, j) <= 5),
+  g AS (SELECT DISTINCT id, substring(lower(trim(text)), CAST(k AS BIGINT), 3) AS key FROM rec, LATERAL (SELECT unnest(range(1, greatest(length(trim(text)) - 1, 2))) AS k)),
+  k AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY key ORDER BY md5(concat_ws('|', '7', key, CAST(id AS VARCHAR))), key, id) <= 100),
+  u AS (SELECT a.id AS i, b.id AS j FROM k a JOIN k b ON a.key = b.key AND a.id < b.id UNION SELECT least(i, j), greatest(i, j) FROM d),
+  h AS (SELECT i, j, CAST(x.cluster = y.cluster AND x.cluster <> '' AS INTEGER) AS label FROM u JOIN rec x ON x.id = i JOIN rec y ON y.id = j),
+  np AS (SELECT count(*) AS p FROM h WHERE label = 1), rk AS (SELECT i, j, label, row_number() OVER (PARTITION BY label ORDER BY {H}, i, j) AS k FROM h), l AS (SELECT i, j, label FROM rk, np WHERE label = 1 OR k <= round_even(p * 0.7 / 0.3, 0)), {_strat('l')} SELECT * FROM sp""")
+def hybrid_builder(spark, sf):
+    """n-gram blocks of 100 rows at most and nearest vectors, united, resampled and split."""
+    v = _vectors(spark, sf)
+    records = v.select("id").join(_t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("text"), F.col("c_mktsegment").alias("cluster")), "id")
+    return builders.hybrid_pairs(records, "union", 5, 0.3, SEED, 100, lambda r: v.join(r.select("id"), "id", "left_semi"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_round_trip(spark, sf):
+    """The table as CSV files, by id, read back with inferred types."""
+    path = scratch_dir(spark)
+    writers.write_csv(_t(spark, sf, "customer"), path, order=["c_custkey"])
+    back = readers.read_csv(spark, path, infer=True)
+    return back.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query("SELECT p_partkey, coalesce(p_name, '') AS p_name, coalesce(p_brand, '') AS p_brand FROM part WHERE p_partkey % 10 <> 3")
+def ids_tsv(spark, sf):
+    """A tab-separated table, a tenth of whose ids is no number; missing text is empty."""
+    path = scratch_dir(spark)
+    part = _t(spark, sf, "part").select(F.when(F.col("p_partkey") % 10 == 3, F.lit("bad")).otherwise(F.col("p_partkey").cast("string")).alias("id"), "p_name", "p_brand")
+    writers.write_csv(part, path, sep="\t")
+    return readers.read_ids_tsv(spark, path).select(F.col("id").alias("p_partkey"), F.coalesce("p_name", F.lit("")).alias("p_name"), F.coalesce("p_brand", F.lit("")).alias("p_brand"))
+
+
+@query(f"WITH {D} SELECT DISTINCT least(i, j) AS i, greatest(i, j) AS j FROM d")
+def truth_file(spark, sf):
+    """Truth pairs as a tab-separated file of quoted ids, read back with the smaller id first."""
+    path = scratch_dir(spark)
+    quoted = _dense(spark, sf).select(*(F.concat(F.lit(" "), F.col(c).cast("string")).alias(n) for c, n in (("i", "id1"), ("j", "id2"))))
+    quoted.write.option("header", True).option("sep", "\t").option("quoteAll", True).csv(path)
+    return readers.read_truth(spark, path)
+
+
+def _pair_lines(spark, sf, label) -> tuple[str, DataFrame]:
+    path = scratch_dir(spark)
+    part = _t(spark, sf, "part").select(F.col("p_name").alias("text1"), F.col("p_type").alias("text2"), label.alias("label"), F.when(F.col("p_partkey") % 10 == 0, "test").otherwise("train").alias("split"))
+    writers.write_pairs(part, path)
+    return path, part
+
+
+@query("SELECT trim(p_name) AS \"left\", trim(p_type) AS \"right\", CAST(p_size AS INTEGER) AS label FROM part")
+def pair_files(spark, sf):
+    """Pair files of two splits, read back strictly."""
+    path, _ = _pair_lines(spark, sf, F.col("p_size"))
+    return readers.read_pairs(spark, [f"{path}/split=train", f"{path}/split=test"])
+
+
+@query("SELECT trim(p_name) AS \"left\", trim(p_type) AS \"right\", CAST(p_size AS INTEGER) AS label FROM part WHERE p_size % 3 <> 0")
+def pair_files_lenient(spark, sf):
+    """Lines whose label is no number are skipped."""
+    path, _ = _pair_lines(spark, sf, F.when(F.col("p_size") % 3 == 0, F.lit("?")).otherwise(F.col("p_size").cast("string")))
+    return readers.read_pairs(spark, [f"{path}/split=train", f"{path}/split=test"], "lenient")
+
+
+@query("SELECT trim(p_name) AS \"left\", trim(p_type) AS \"right\", CASE WHEN p_size % 3 <> 0 THEN CAST(p_size AS INTEGER) END AS label FROM part")
+def pair_files_to_score(spark, sf):
+    """Lines whose label is missing or no number have none."""
+    path, _ = _pair_lines(spark, sf, F.when(F.col("p_size") % 3 == 0, F.lit("-1")).otherwise(F.col("p_size").cast("string")))
+    return readers.read_pairs(spark, [f"{path}/split=train", f"{path}/split=test"], "score")
+
+
+@query(f"""WITH {P} SELECT i, j, label, pred, CASE WHEN label = 1 AND pred = 1 THEN 'TP' WHEN pred = 1 THEN 'FP' WHEN label = 1 THEN 'FN' ELSE 'TN' END AS source FROM p""")
+def outcome_files(spark, sf):
+    """Scored pairs as one folder of CSV files for each outcome, read back."""
+    path = scratch_dir(spark)
+    writers.write_outcomes(_scored(spark, sf).select("i", "j", "label", "pred"), path)
+    return readers.read_csv(spark, path, "i long, j long, label int, pred int, source string")
+
+
+@query(f"SELECT * FROM ({ORACLES['confusion_metrics']})")
+def metrics_json(spark, sf):
+    path = scratch_dir(spark)
+    writers.write_json(confusion_metrics(spark, sf), path)
+    return spark.read.schema("tp long, fp long, tn long, fn long, precision double, recall double, f1 double, accuracy double").json(path)
+
+
+@query(f"""SELECT unnest(['n: ' || CAST(n AS VARCHAR), 'n_match: ' || CAST(n_match AS VARCHAR), 'mean: ' || printf('%.6f', mean)]) AS line FROM ({ORACLES['prob_summary']})""")
+def report_lines(spark, sf):
+    path = scratch_dir(spark)
+    writers.write_report(prob_summary(spark, sf).select("n", "n_match", "mean"), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("SELECT vec_id AS id, len(embedding) AS n FROM embeddings")
+def cached_vectors(spark, sf):
+    """Vectors encoded and stored on the first call, read on the second."""
+    path, v = scratch_dir(spark), _vectors(spark, sf)
+    builders.encode.cached(path, v, lambda _: v)
+    return builders.encode.cached(path, v, lambda _: v.limit(0)).select("id", F.size("vec").cast("long").alias("n"))

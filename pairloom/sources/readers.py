@@ -14,16 +14,18 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path, schema=None, sep: str = ",", tolerant: bool = False, encoding: str = "UTF-8", comment: str | None = None, header: bool = True) -> DataFrame:
-    """A CSV table with quotes doubled inside quotes and line breaks inside fields; without a schema all columns are text.
+def read_csv(spark: SparkSession, path, schema=None, sep: str = ",", tolerant: bool = False, encoding: str = "UTF-8", comment: str | None = None, header: bool = True, multi_line: bool = False, infer: bool = False, missing: str | None = None) -> DataFrame:
+    """A CSV table with quotes doubled inside quotes; without a schema all columns are text, or typed with ``infer``.
 
-    ``tolerant`` drops rows that don't fit. ``path`` may be a list: the files' rows are concatenated.
+    ``multi_line`` allows line breaks inside fields; a file is one task then, so it is no default. ``tolerant`` drops rows
+    that don't fit, ``missing`` stands for missing text. ``path`` may be a list: the files' rows are concatenated.
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", True).option("encoding", encoding)
-    reader = reader.option("mode", "DROPMALFORMED" if tolerant else "PERMISSIVE")
+    reader = spark.read.option("header", header).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multi_line).option("encoding", encoding)
+    reader = reader.option("mode", "DROPMALFORMED" if tolerant else "PERMISSIVE").option("inferSchema", infer and schema is None)
     if comment:
         reader = reader.option("comment", comment)
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
+    return df if missing is None else df.fillna(missing)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
@@ -43,13 +45,14 @@ def read_ids_tsv(spark: SparkSession, path: str, id_col: str = "id") -> DataFram
 def read_pairs(spark: SparkSession, path, fields: str = "exact") -> DataFrame:
     """left, right, label of a pair file: tab-separated lines without quoting.
 
-    ``exact``: three fields; ``lenient``: three or more, lines whose label is no number are dropped; ``score``: two or
-    more, the label is null unless it is all digits. Other lines are skipped, blank ones always; sides are trimmed.
+    ``exact``: three fields; ``lenient``: three or more, lines whose label is no whole number, which may have a sign, are
+    dropped; ``score``: two or more, the label is null unless it is all digits. A label beyond 32 bits is no number. Other
+    lines are skipped, blank ones always; sides are trimmed.
     """
     parts = F.split("value", "\t")
     lines = spark.read.text(path).filter(F.trim("value") != "").select(parts.alias("p"))
     label = F.trim(F.get("p", F.lit(2)))
-    number = F.when(label.rlike(r"^[0-9]+$"), label.cast("int"))
+    number = F.when(label.rlike(r"^[0-9]+$" if fields != "lenient" else r"^[+-]?[0-9]+$"), label.try_cast("int"))
     least = {"exact": F.size("p") == 3, "lenient": (F.size("p") >= 3) & number.isNotNull(), "score": F.size("p") >= 2}
     if fields not in least:
         raise ValueError(f"unknown rule {fields!r}; one of {sorted(least)}")
@@ -77,6 +80,7 @@ class Dataset:
     raw_key: str = "name"
     standard_key: str = "name"
     text_fields: tuple[str, ...] = ()
+    multi_line: bool = False
     strategy: str = "tfidf"
     top_k: int = 10
     target_pairs: int | None = None
@@ -98,6 +102,16 @@ def load_dataset(path: str, name: str) -> Dataset:
     return Dataset(name=name, extra={k: v for k, v in entries[name].items() if k not in known}, **{k: v for k, v in known.items() if k != "name"})
 
 
+def sample_lines(spark: SparkSession, path: str, n: int, seed: int = 7) -> DataFrame:
+    """``value``: ``n`` lines of a text file without replacement, in the file's order.
+
+    Lines are numbered in file order by partition and place; only the sample is sorted.
+    """
+    lines = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
+    chosen = lines.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_at").cast("string"))), "_at").limit(n)
+    return chosen.orderBy("_at").select("value")
+
+
 def resolve(path: str, root: str) -> str:
     """``path`` itself if absolute, else below ``root``."""
     return path if Path(path).is_absolute() else str(Path(root) / path)

@@ -2,7 +2,7 @@
 
 Method: an exact filter first finds what can repeat at all. Every window of ``width`` bytes chooses its smallest hash of
 ``gram`` consecutive bytes as anchor, so equal windows choose equal anchors at equal places, and every repeated window
-lies in the neighbourhoods (``width - gram`` bytes to the left, ``width`` to the right) of anchors that repeat.
+lies in the neighbourhoods of anchors that repeat: the bytes of all windows that choose the anchor, one run of them.
 Neighbourhoods that repeat as wholes (equal in 128 bits of a SHA-256 of their bytes and in their anchor's hash) are
 covered as wholes. Of the others, one of each kind goes to the shard of its anchor's hash; a shard's text is sorted by
 induced sorting, permuted common prefixes give the runs of suffixes that agree in ``width`` bytes, and a run with two
@@ -22,7 +22,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import binary_array, binary_view, materialise, scratch_dir
@@ -48,12 +48,16 @@ class Anchors:
         self.down = np.cumprod(np.r_[np.uint64(1), np.full(n, inverse, np.uint64)])
 
     def find(self, data, starts, ends):
-        """(positions, hashes) of the anchors of the pieces ``data[start:end]``, in order."""
+        """(positions, hashes, first and last window) of the anchors of the pieces ``data[start:end]``, in order.
+
+        The windows that choose an anchor are consecutive; each window has one.
+        """
         import numpy as np
 
         n, k = len(data), self.gram
         if n < self.width:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            none = np.zeros(0, np.int64)
+            return none, np.zeros(0, np.uint64), none, none
         total = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n])]
         h = (total[k:] - total[:-k]) * self.down[: n - k + 1]
         h ^= h >> np.uint64(29)
@@ -71,9 +75,11 @@ class Anchors:
         live = np.zeros(len(m), bool)
         for a, b in zip(starts, ends, strict=True):
             live[a : max(a, b - self.width + 1)] = True
-        at = (m[live] & low).astype(np.int64)
-        at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
-        return at, h[at]
+        window = np.flatnonzero(live)
+        at = (m[window] & low).astype(np.int64)
+        run = np.r_[True, (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)] if len(at) else np.zeros(0, bool)
+        at = at[run]
+        return at, h[at], window[run], window[np.r_[run[1:], True] if len(run) else run]
 
 
 def _find(width: int, gram: int):
@@ -82,7 +88,7 @@ def _find(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        anchors, side = Anchors(width, gram), width - gram
+        anchors = Anchors(width, gram)
         for batch in batches:
             keys = batch.column("key").to_numpy()
             many = batch.column("copies").to_numpy() > 1
@@ -91,7 +97,7 @@ def _find(width: int, gram: int):
             for r in np.flatnonzero(np.diff(at) >= width).tolist():
                 for a in range(int(at[r]), int(at[r + 1]) - width + 1, _PIECE):
                     pieces.append((r, a, min(int(at[r + 1]), a + _PIECE + width - 1)))
-            found_row, found_pos, found_hash = [], [], []
+            found = []
             i = 0
             while i < len(pieces):
                 j, first = i + 1, pieces[i][1]
@@ -99,37 +105,27 @@ def _find(width: int, gram: int):
                     j += 1
                 got = pieces[i:j]
                 buffer = data[first : got[-1][2]]
-                p, h = anchors.find(buffer, [g[1] - first for g in got], [g[2] - first for g in got])
-                p = p + first
-                row = np.searchsorted(at, p, "right") - 1
-                found_row.append(row)
-                found_pos.append(p - at[row])
-                found_hash.append(h)
+                p, h, one, last = anchors.find(buffer, [g[1] - first for g in got], [g[2] - first for g in got])
+                found.append((h, one + first, p - one, last - one + width))
                 i = j
-            if not found_row:
+            if not found:
                 continue
-            row, pos, h = (np.concatenate(x) for x in (found_row, found_pos, found_hash))
-            if len(row) > 1:  # neighbouring pieces of a long text share anchors
-                fresh = np.r_[True, (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])]
-                row, pos, h = row[fresh], pos[fresh], h[fresh]
-            size = np.diff(at)[row]
-            left, right = np.minimum(side, pos), np.minimum(width, size - pos)
-            base = at[row] + pos
-            raw = data.tobytes()
-            snip, more = _digests(raw, (base - left).tolist(), (base + right).tolist(), left)
-            want = ~many[row]
+            h, base, left, size = (np.concatenate(x) for x in zip(*found, strict=True))
+            row = np.searchsorted(at, base, "right") - 1
+            snip, more = _digests(data.tobytes(), base.tolist(), (base + size).tolist(), left)
+            want, pos = ~many[row], base - at[row]
             order = np.lexsort((snip, h))
-            h, snip, more, row, pos, want = h[order], snip[order], more[order], row[order], pos[order], want[order]
+            h, snip, more, row, pos, left, size, want = (x[order] for x in (h, snip, more, row, pos, left, size, want))
             new = np.r_[True, (h[1:] != h[:-1]) | (snip[1:] != snip[:-1]) | (more[1:] != more[:-1])]
             kind = np.cumsum(new) - 1
             n_kind = np.bincount(kind)
             rep = np.flatnonzero(new)
             whole = (n_kind[kind] > 1) & want
             key = keys[row]
-            yield _rows(h[rep].view(np.int64), snip[rep], more[rep], key[rep], pos[rep], want[rep] & (n_kind == 1), (n_kind > 1) | ~want[rep], np.zeros(len(rep), bool))
+            yield _rows(h[rep].view(np.int64), snip[rep], more[rep], key[rep], pos[rep], left[rep], size[rep], want[rep] & (n_kind == 1), (n_kind > 1) | ~want[rep], np.zeros(len(rep), bool))
             if whole.any():
-                k = key[whole]
-                yield _rows(k, np.zeros(len(k), np.int64), np.zeros(len(k), np.int64), k, pos[whole], np.zeros(len(k), bool), np.zeros(len(k), bool), np.ones(len(k), bool))
+                k, no = key[whole], np.zeros(int(whole.sum()), np.int64)
+                yield _rows(k, no, no, k, pos[whole], left[whole], size[whole], no > 0, no > 0, no == 0)
 
     return run
 
@@ -144,13 +140,14 @@ def _digests(raw: bytes, starts: list[int], ends: list[int], left):
     return two[:, 0].copy(), two[:, 1].copy()
 
 
-_ROWS = pa.schema([("h", pa.int64()), ("snip", pa.int64()), ("more", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("flags", pa.int8())])
+_ROWS = pa.schema([("h", pa.int64()), ("snip", pa.int64()), ("more", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("left", pa.int32()), ("size", pa.int32()), ("flags", pa.int8())])
 
 
-def _rows(h, snip, more, key, pos, want, many, whole) -> pa.RecordBatch:
-    """flags: 1 its spans are wanted, 2 it stands for several places, 4 covered as a whole."""
+def _rows(h, snip, more, key, pos, left, size, want, many, whole) -> pa.RecordBatch:
+    """pos, size: the neighbourhood; left: its bytes before the anchor; flags: 1 its spans are wanted, 2 it stands for several places, 4 covered as a whole."""
     flags = want * 1 + many * 2 + whole * 4
-    return pa.RecordBatch.from_arrays([pa.array(h), pa.array(snip), pa.array(more), pa.array(key), pa.array(pos.astype("int32")), pa.array(flags.astype("int8"))], schema=_ROWS)
+    cols = (pa.array(x).cast(f.type) for x, f in zip((h, snip, more, key, pos, left, size, flags), _ROWS, strict=True))
+    return pa.RecordBatch.from_arrays(list(cols), schema=_ROWS)
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +157,8 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     import numpy as np
 
-    names = ("h", "snip", "more", "key", "pos", "flags")
     held, others = None, False  # the rows of the last kind seen, combined; whether its shard had one before
-    for batch in _padded(batches, names):
+    for batch in _padded(batches):
         if batch is not None:
             whole = batch["flags"] == 4
             if whole.any():
@@ -194,54 +190,47 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _out(out)
 
 
-def _padded(batches, names):
+def _padded(batches):
     """Packed rows of every batch, then None."""
     import numpy as np
 
     for batch in batches:
-        out = np.empty(batch.num_rows, [p for p in _PACKED if p[0] in names])
-        for name in names:
+        out = np.empty(batch.num_rows, _PACKED)
+        for name, _ in _PACKED:
             out[name] = batch.column(name).to_numpy()
         yield out
     yield None
 
 
-_PACKED = [("h", "<i8"), ("snip", "<i8"), ("more", "<i8"), ("key", "<i8"), ("pos", "<i4"), ("flags", "i1")]
+_PACKED = [("h", "<i8"), ("snip", "<i8"), ("more", "<i8"), ("key", "<i8"), ("pos", "<i4"), ("left", "<i4"), ("size", "<i4"), ("flags", "i1")]
+_KINDS = "h long, key long, pos int, left int, size int, flags byte"
 
 
 def _out(rows) -> pa.RecordBatch:
     import numpy as np
 
-    cols = [pa.array(np.ascontiguousarray(rows[c])) for c in ("h", "key", "pos", "flags")]
-    return pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "flags"])
+    names = ["h", "key", "pos", "left", "size", "flags"]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c])) for c in names], names)
 
 
-def _extract(width: int, gram: int):
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their asked anchors to neighbourhoods."""
+    import numpy as np
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        side = width - gram
-        for batch in batches:
-            data, at = binary_view(batch.column("text"))
-            asked = batch.column("asked")
-            parts = asked.flatten()
-            n = np.asarray(asked.value_lengths())
-            row = np.repeat(np.arange(len(n)), n)
-            pos = parts.field("pos").to_numpy().astype(np.int64)
-            size = np.diff(at)[row]
-            a, b = at[row] + np.maximum(0, pos - side), at[row] + np.minimum(size, pos + width)
-            raw = data.tobytes()
-            for k in range(0, len(row), 20_000):
-                s = slice(k, k + 20_000)
-                text = b"".join([raw[x:y] for x, y in zip(a[s].tolist(), b[s].tolist(), strict=True)])
-                ends = np.r_[0, np.cumsum(b[s] - a[s])]
-                left = np.minimum(pos[s], side).astype(np.int32)
-                cols = [parts.field("h").slice(k, 20_000), pa.array(batch.column("key").to_numpy()[row[s]]), pa.array(pos[s].astype(np.int32)), pa.array(left), parts.field("flags").slice(k, 20_000), binary_array(text, ends)]
-                yield pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "left", "flags", "text"])
-
-    return run
+    for batch in batches:
+        data, at = binary_view(batch.column("text"))
+        asked = batch.column("asked")
+        parts = asked.flatten()
+        row = np.repeat(np.arange(batch.num_rows), np.asarray(asked.value_lengths()))
+        a = at[row] + parts.field("pos").to_numpy()
+        b = a + parts.field("size").to_numpy()
+        raw = data.tobytes()
+        for k in range(0, len(row), 20_000):
+            s = slice(k, k + 20_000)
+            text = b"".join([raw[x:y] for x, y in zip(a[s].tolist(), b[s].tolist(), strict=True)])
+            part = lambda c: parts.field(c).slice(k, 20_000)  # noqa: B023, E731
+            cols = [part("h"), pa.array(batch.column("key").to_numpy()[row[s]]), part("pos"), part("left"), part("flags"), binary_array(text, np.r_[0, np.cumsum(b[s] - a[s])])]
+            yield pa.RecordBatch.from_arrays(cols, ["h", "key", "pos", "left", "flags", "text"])
 
 
 def repeated_spans(size, key, start, flags, text, width: int):
@@ -334,6 +323,7 @@ def _split(width: int, gram: int):
             data, at = binary_view(batch.column("text"))
             raw = data.tobytes()
             h, a0, b0, key, pos, left, flags = (batch.column(c).to_numpy() for c in ("h", "a", "b", "key", "pos", "left", "flags"))
+            left = left.astype(np.int64)
             anchor = at[:-1] + left
             right = np.diff(at) - left - gram
             for q in range(4):
@@ -361,10 +351,10 @@ def _split(width: int, gram: int):
                 text = b"".join([raw[x[i] : y[i]] for i in rep.tolist()])
                 ends = np.r_[0, np.cumsum((hi + gram + lo)[rep]), np.full(int(spans.sum()), len(text))]
                 long = lambda v: pa.array(v[pick])
-                first, length = (pos[can] - lo), (lo + gram + hi)
+                first, length = pos[can] + left[can] - lo, lo + gram + hi
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.where(spans, key[can][pick], shard[pick])), long(snip), long(more), pa.array(np.where(spans, first[pick], a[can][pick]).astype(np.int32)), pa.array(np.where(spans, (first + length)[pick], b[can][pick]).astype(np.int32)),
-                    long(key[can]), long(pos[can]), pa.array(lo[pick].astype(np.int32)), pa.array(np.where(spans, 4, mark[pick]).astype(np.int8)), binary_array(text, ends)
+                    long(key[can]), pa.array(first[pick].astype(np.int32)), pa.array(lo[pick].astype(np.int32)), pa.array(np.where(spans, 4, mark[pick]).astype(np.int8)), binary_array(text, ends)
                 ], ["h", "snip", "more", "a", "b", "key", "pos", "left", "flags", "text"])
 
     return run
@@ -377,8 +367,7 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, held = None, None  # the kind at hand and its one row, which may go on in the next batch
 
     def span(row):
-        first = row["pos"] - row["left"]
-        return row | {"a": first, "b": first + len(row["text"]), "flags": 4, "text": b""}
+        return row | {"a": row["pos"], "b": row["pos"] + len(row["text"]), "flags": 4, "text": b""}
 
     for batch in batches:
         out = []
@@ -405,12 +394,12 @@ def _sort_shards(width: int, gram: int):
         import numpy as np
 
         def work(table: pa.Table):
-            h, key, pos, left, flags = (table.column(c).to_numpy() for c in ("h", "key", "pos", "left", "flags"))
+            h, key, start, left, flags = (table.column(c).to_numpy() for c in ("h", "key", "pos", "left", "flags"))
             text, at = binary_view(table.column("text"))
             size, left = np.diff(at), left.astype(np.int64)
             keep = _likely(np.ascontiguousarray(h), size, left, flags, text, width, gram)
             text, size = text[np.repeat(keep, size)], size[keep]
-            key, start, flags = key[keep], (pos - left)[keep], flags[keep]
+            key, start, flags = key[keep], start[keep], flags[keep]
             row, a, b = repeated_spans(size, key, start, flags, text, width) if len(key) else (np.zeros(0, np.int64),) * 3
             return pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(a), pa.array(b)], ["key", "start", "end"])
 
@@ -499,23 +488,26 @@ def _stored(texts: DataFrame) -> tuple[DataFrame, str, str]:
     return spark.table(name), name, path
 
 
+def _large(kinds: DataFrame, by: Column) -> DataFrame:
+    """Stored h of the shards that ``by`` counts more than ``_MOST`` rows of; there are few, by far fewer than rows."""
+    return materialise(kinds.filter(by).groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > _MOST).select("h"))
+
+
 def _smaller(rows: DataFrame, width: int, gram: int) -> tuple[DataFrame, DataFrame]:
-    """(rows of shards that are small enough; key, start, end of what was covered on the way) of stored large shards."""
+    """(rows of shards that are small enough; key, start, end of what was covered on the way) of large shards."""
     side, done, spans = width - gram, None, None
     rows = rows.select("h", F.lit(0).alias("a"), F.lit(side).alias("b"), "key", "pos", "left", "flags", "text")
     while True:
         split = rows.mapInArrow(_split(width, gram), _SPLIT)
         made = materialise(split.repartition("h", "snip").sortWithinPartitions("h", "snip", "more").mapInArrow(_alike, _SPLIT))
         covered = made.filter("flags = 4").select("key", F.col("a").cast("long").alias("start"), F.col("b").cast("long").alias("end"))
+        large = _large(made, (F.col("flags") < 4) & (F.col("a") < F.col("b")))
         kinds = made.filter("flags < 4")
-        counts = kinds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-        sized = kinds.join(counts, "h")
-        large = (F.col("n") > _MOST) & (F.col("a") < F.col("b"))
-        small = sized.filter(~large).select("h", "key", "pos", "left", "flags", "text")
+        small = kinds.join(large, "h", "left_anti").select("h", "key", "pos", "left", "flags", "text")
         done, spans = (small, covered) if done is None else (done.union(small), spans.union(covered))
-        rows = sized.filter(large).select("h", "a", "b", "key", "pos", "left", "flags", "text")
-        if rows.isEmpty():
+        if large.isEmpty():
             return done, spans
+        rows = kinds.join(large, "h", "left_semi").select("h", "a", "b", "key", "pos", "left", "flags", "text")
 
 
 def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -531,15 +523,15 @@ def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None,
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     small, rows = _keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256))), seed)
     texts, name, path = _stored(rows)
-    found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, more long, key long, pos int, flags byte")
-    kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip", "more").mapInArrow(_match, "h long, key long, pos int, flags byte"))
-    large = materialise(kinds.filter("flags < 4").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > _MOST).select("h"))
+    found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, more long, key long, pos int, left int, size int, flags byte")
+    kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip", "more").mapInArrow(_match, _KINDS))
+    large = _large(kinds, F.col("flags") < 4)
 
     def parts(of: DataFrame) -> DataFrame:
-        asked = of.filter("flags < 4").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "flags")).alias("asked"))  # bounded by the text's length
-        return texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract(width, gram), "h long, key long, pos int, left int, flags byte, text binary")
+        asked = of.filter("flags < 4").groupBy("key").agg(F.collect_list(F.struct("h", "pos", "left", "size", "flags")).alias("asked"))  # bounded by the text's length
+        return texts.join(asked, "key").select("key", "text", "asked").mapInArrow(_extract, "h long, key long, pos int, left int, flags byte, text binary")
 
-    whole = kinds.filter("flags = 4").select("key", F.greatest(F.col("pos") - (width - gram), F.lit(0)).cast("long").alias("start"), (F.col("pos") + width).cast("long").alias("end"))
+    whole = kinds.filter("flags = 4").select("key", F.col("pos").cast("long").alias("start"), (F.col("pos") + F.col("size")).cast("long").alias("end"))
     if large.isEmpty():
         shards = parts(kinds)
     else:

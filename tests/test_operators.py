@@ -150,3 +150,64 @@ def test_batch_pipeline(spark, tmp_path):
     with pytest.raises(ValueError):
         pipeline.candidates("other", None, None, 1)
     assert writers.report(spark.createDataFrame([(1, 0.5)], "a int, b double")) == "a: 1\nb: 0.500000\n"
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"a ""q"", b"\n2,x,extra\n3,\n')
+    path = str(tmp_path / "a.csv")
+    assert rows(readers.read_csv(spark, path, readers.text_schema(["id", "name"]), tolerant=True).fillna("")) == [("1", 'a "q", b'), ("3", "")]
+    assert dict(readers.read_csv(spark, path, infer=True).dtypes)["id"] == "int"
+    assert readers.read_csv(spark, path, missing="").filter("name = ''").count() == 1
+    (tmp_path / "l.csv").write_bytes("# note\nid,name\n1,caf\xe9\n".encode("latin-1"))
+    assert rows(readers.read_csv(spark, str(tmp_path / "l.csv"), comment="#", encoding="ISO-8859-1")) == [("1", "café")]
+    (tmp_path / "m.csv").write_text('id,name\n1,"two\nlines"\n')
+    assert rows(readers.read_csv(spark, str(tmp_path / "m.csv"), multi_line=True), "name") == [("two\nlines",)]
+    (tmp_path / "big.txt").write_text("a\tb\t99999999999\nc\td\t-1\ne\tf\t2\n")
+    big = str(tmp_path / "big.txt")
+    assert rows(readers.read_pairs(spark, big, "lenient"), "left", "label") == [("c", -1), ("e", 2)]
+    assert rows(readers.read_pairs(spark, big, "score").filter("label is not null"), "left") == [("e",)]
+    (tmp_path / "s.yaml").write_text("one:\n  raw: r.csv\n  text_fields: [a, b]\n  odd: 3\n")
+    one = readers.load_dataset(str(tmp_path / "s.yaml"), "one")
+    assert (one.raw, one.text_fields, one.extra) == ("r.csv", ("a", "b"), {"odd": 3})
+    with pytest.raises(KeyError):
+        readers.load_dataset(str(tmp_path / "s.yaml"), "two")
+    assert readers.resolve("x", "/r") == "/r/x" and readers.resolve("/x", "/r") == "/x"
+    (tmp_path / "n.txt").write_text("\n".join(f"{k:03d}" for k in range(200)))
+    got = [r["value"] for r in readers.sample_lines(spark, str(tmp_path / "n.txt"), 30).collect()]
+    assert len(got) == 30 and got == sorted(got)
+
+
+def test_pair_files_with_nulls_are_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for last in ("x", "y"):
+        writers.write_pairs(spark.createDataFrame([(None, last, 1, "train")], "text1 string, text2 string, label int, split string"), path)
+    assert rows(readers.read_pairs(spark, f"{path}/split=train")) == [("", "y", 1)]
+    assert not [p for p in tmp_path.iterdir() if p.name != "p"]
+
+
+def test_casebook_order_and_error(spark):
+    scored = spark.createDataFrame([(k, k + 1, k % 2, k // 2 % 2) for k in range(8)], "i long, j long, label int, pred int")
+    assert [r["source"] for r in analysis.full_casebook(scored, 1, 7).collect()] == ["FP", "FN", "TP", "TN"]
+    with pytest.raises(ValueError):
+        analysis.full_casebook(scored.limit(0), 1, 7)
+
+
+def test_epochs_and_single_pairs(spark):
+    data = [(f"red ring {k}", f"red ring {k}" if k % 2 else f"blue bolt {k + 1}", k % 2) for k in range(40)]
+    made = scoring.pair_features(spark.createDataFrame(data, "text1 string, text2 string, label int"))
+    model, seen = scoring.train_epochs(made, made, ["f_words", "f_grams", "f_edit", "f_length"], epochs=2, augment=True)
+    assert [r["epoch"] for r in seen.orderBy("epoch").collect()] == [1, 2] and seen.agg(F.max("f1")).first()[0] == 1.0
+    assert [pred for _, pred in scoring.score_texts(model, spark, [("a b c", "a b c"), ("a b c", "x y z")])] == [1, 0]
+
+
+@pytest.mark.parametrize(("n", "bins"), [(103, 5), (4, 5), (10, 3)])
+def test_bins_of_clusters(spark, n, bins):
+    """The same bins as one sort by size and name would give."""
+    sizes = spark.range(n).select(F.col("id").alias("cluster"), (F.col("id") * 7 % 4).alias("n"))
+    order = sorted(range(n), key=lambda c: (c * 7 % 4, c))
+    want, at = {}, 0
+    for b in range(bins):
+        for c in order[at : at + n // bins + (b < n % bins)]:
+            want[c] = b + 1
+        at += n // bins + (b < n % bins)
+    assert {r["cluster"]: r["bin"] for r in sampling.diverse_clusters(sizes, n * bins, bins, 7).collect()} == want

@@ -48,8 +48,8 @@ def _constants():
     return draw(BANDS * WIDTH, np.uint32)[:, None], draw(BANDS * WIDTH, np.uint32)[:, None] | np.uint32(1), draw(WIDTH, np.uint64) | np.uint64(1)
 
 
-def _sketch(shingle: int):
-    """doc_id, text to v, grams (32 bits of each distinct shingle hash, sorted), bands (one key a band)."""
+def _bands(shingle: int):
+    """doc_id, text to v, bands (one key a band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -57,19 +57,31 @@ def _sketch(shingle: int):
         flip, odd, fold = _constants()
         for batch in batches:
             for part in slices(batch, "text"):
-                grams, bands = [], []
+                bands = []
                 for text in part.column("text").to_pylist():
-                    h = shingle_hashes(text, shingle)
-                    high = (h >> np.uint64(32)).astype(np.uint32)  # products of 32 bits are vectorised
+                    high = (shingle_hashes(text, shingle) >> np.uint64(32)).astype(np.uint32)  # products of 32 bits are vectorised
                     low = np.full(BANDS * WIDTH, np.iinfo(np.uint32).max, np.uint32)
                     for k in range(0, len(high), _CHUNK):
                         low = np.minimum(low, ((high[k : k + _CHUNK] ^ flip) * odd).min(1))
                     bands.append((low.astype(np.uint64).reshape(BANDS, WIDTH) * fold).sum(1, dtype=np.uint64).view(np.int64))
-                    grams.append(np.unique(h.astype(np.uint32)).view(np.int32))
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(np.concatenate(bands)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), keys], ["v", "bands"])
+
+    return run
+
+
+def _sets(shingle: int):
+    """doc_id, text to v, grams (the distinct shingle hashes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for part in slices(batch, "text"):
+                grams = [shingle_hashes(text, shingle).view(np.int64) for text in part.column("text").to_pylist()]
                 ends = np.cumsum([0, *map(len, grams)]).astype(np.int32)
                 sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(grams)))
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(np.concatenate(bands)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets, keys], ["v", "grams", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], ["v", "grams"])
 
     return run
 
@@ -85,7 +97,7 @@ def _across(similarity: float):
         one = bool((table.column("g").to_numpy() == table.column("h").to_numpy()).all())
         grams = table.column("grams").combine_chunks()
         size = np.asarray(grams.value_lengths()).astype(np.int64)
-        flat, ends = grams.flatten().to_numpy().view(np.uint32), np.r_[0, np.cumsum(size)]
+        flat, ends = grams.flatten().to_numpy(), np.r_[0, np.cumsum(size)]
         row = np.repeat(np.arange(len(v)), size)
         out_a, out_b = [], []
         for i in range(len(v)):
@@ -118,12 +130,12 @@ def similar_classes(rows: DataFrame, known: DataFrame, shingle: int = 5, similar
     part, null texts are empty, and empty texts link with each other. An empty table gives no rows.
     """
     rows = rows.filter("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sketch = materialise(rows.mapInArrow(_sketch(shingle), "v long, grams array<int>, bands array<long>"))
-    keys = sketch.select("v", F.posexplode("bands").alias("t", "key"))
+    keys = materialise(rows.mapInArrow(_bands(shingle), "v long, bands array<long>")).select("v", F.posexplode("bands").alias("t", "key"))
     shared = keys.groupBy("t", "key").agg(F.min("v").alias("c"), F.count("*").alias("n")).filter("n > 1")
     met = materialise(keys.join(shared, ["t", "key"]))
-    # texts that share no block travel no further
-    sets = materialise(sketch.select("v", "grams").join(met.select("v").distinct(), "v", "left_semi"))
+    # only texts that share a block get their sets
+    asked = rows.join(met.select(F.col("v").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = materialise(asked.mapInArrow(_sets(shingle), "v long, grams array<long>"))
     pairs = met.filter("v <> c").select("v", "c").distinct().join(sets, "v").join(sets.select(F.col("v").alias("c"), F.col("grams").alias("other")), "c")
     a, b, both = F.size("grams"), F.size("other"), F.size(F.array_intersect("grams", "other"))
     near = (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9) & (both >= similarity * (a + b - both) - 1e-9)

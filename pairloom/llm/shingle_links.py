@@ -5,8 +5,8 @@ blocks narrow enough for that radius select nothing). So candidates share one of
 hashes, which a pair of similarity 0.8 misses with a chance of 5 in a million, and shingle sets decide.
 
 Scale: every member of a bucket is compared with the bucket's smallest id first, one row a member, which joins a large
-group of near copies in linear work. Only buckets that still hold several classes are searched further, in tiles of
-bounded size and across classes alone.
+group of near copies in linear work; those who ask for one id are dealt to shares. Only buckets that still hold several
+classes are searched further: members of the largest class meet the others, never each other, in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from .components import connected_components
 BANDS, WIDTH = 40, 6
 _CHUNK = 512
 _TILE = 512
+_SHARE = 4096
 
 
 def shingle_hashes(text: str, shingle: int):
@@ -122,7 +123,7 @@ def _across(similarity: float):
     return run
 
 
-def similar_classes(rows: DataFrame, known: DataFrame, shingle: int = 5, similarity: float = 0.8, tile: int = _TILE) -> DataFrame:
+def similar_classes(rows: DataFrame, known: DataFrame, shingle: int = 5, similarity: float = 0.8, tile: int = _TILE, share: int = _SHARE) -> DataFrame:
     """v, label: the classes of ``rows`` (doc_id long, text string) by shared shingles and the links ``known`` (a, b).
 
     Two texts link if the Jaccard similarity of their sets of word shingles is at least ``similarity``; words as in
@@ -136,19 +137,29 @@ def similar_classes(rows: DataFrame, known: DataFrame, shingle: int = 5, similar
     # only texts that share a block get their sets
     asked = rows.join(met.select(F.col("v").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = materialise(asked.mapInArrow(_sets(shingle), "v long, grams array<long>"))
-    pairs = met.filter("v <> c").select("v", "c").distinct().join(sets, "v").join(sets.select(F.col("v").alias("c"), F.col("grams").alias("other")), "c")
+    # one smallest id may be asked for by a third of all rows: its set goes once to each share of the askers
+    shares = F.ceil(F.col("n") / share).cast("long")
+    pairs = met.filter("v <> c").groupBy("v", "c").agg(F.max("n").alias("n")).select("v", "c", shares.alias("s")).withColumn("share", F.pmod(F.xxhash64("v"), F.col("s")))
+    own = met.filter("v = c").select("c", shares.alias("s")).distinct().withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1)))
+    own = own.join(sets.select(F.col("v").alias("c"), F.col("grams").alias("other")), "c")
+    pairs = pairs.join(sets, "v").join(own, ["c", "s", "share"])
     a, b, both = F.size("grams"), F.size("other"), F.size(F.array_intersect("grams", "other"))
     near = (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9) & (both >= similarity * (a + b - both) - 1e-9)
     first = materialise(pairs.filter(near).select(F.col("v").alias("a"), F.col("c").alias("b")).union(known.select("a", "b")))
     labels = connected_components(first)
 
     several = met.filter("n > 2").join(labels, "v", "left").select("t", "key", "v", "n", F.coalesce("label", "v").alias("root"))
-    mixed = several.groupBy("t", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("v")).alias("members"), F.max("n").alias("n")).filter("lo <> hi")
+    sizes = several.groupBy("t", "key", "root").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("v")).alias("members"))
+    mixed = sizes.groupBy("t", "key").agg(F.max(F.struct("n", "root")).alias("major"), F.count("*").alias("roots"), F.bit_xor("members").alias("members"), F.sum("n").alias("n")).filter("roots > 1")
     # buckets of the same members are searched once
-    chosen = mixed.groupBy("members", "n").agg(F.min(F.struct("t", "key")).alias("k")).select("k.t", "k.key")
-    m = F.ceil(F.col("n") / tile).cast("long")
-    dealt = several.join(chosen, ["t", "key"]).withColumn("m", m).withColumn("tile", F.pmod(F.xxhash64("v"), F.col("m")))
-    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))).join(sets, "v")
+    chosen = mixed.groupBy("members", "n").agg(F.min(F.struct("t", "key", "major")).alias("k"))
+    tiles = lambda n: F.ceil(n / tile).cast("long")
+    chosen = chosen.select("k.t", "k.key", F.col("k.major.root").alias("major"), tiles(F.col("n") - F.col("k.major.n")).alias("p"), tiles(F.col("k.major.n")).alias("q"))
+    # tiles 0 to p - 1 hold the smaller classes and meet all tiles, p to p + q - 1 the largest class and meet the former
+    inner, place = F.col("root") == F.col("major"), F.xxhash64("v")
+    dealt = several.join(chosen, ["t", "key"]).withColumn("tile", F.when(inner, F.col("p") + F.pmod(place, F.col("q"))).otherwise(F.pmod(place, F.col("p"))))
+    last = F.when(inner, F.col("p")).otherwise(F.col("p") + F.col("q")) - 1
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), last))).join(sets, "v")
     dealt = dealt.select("t", "key", F.least("tile", "o").alias("g"), F.greatest("tile", "o").alias("h"), "v", "root", "tile", "grams")
     rest = materialise(dealt.groupBy("t", "key", "g", "h").applyInArrow(_across(similarity), "a long, b long"))
     if rest.isEmpty():

@@ -176,7 +176,7 @@ def near_texts():
     return out | {400: None, 401: "", 402: " \n", 403: out[1].upper(), 404: "one", 405: "one two"}
 
 
-@pytest.mark.parametrize("tile", [16, 512])
+@pytest.mark.parametrize("tile", [4, 512])
 def test_similar_classes(spark, tile):
     raw = near_texts()
     sets = {}
@@ -187,9 +187,9 @@ def test_similar_classes(spark, tile):
     assert 20 < len(set(root.values())) < len(raw) - 20
     rows = spark.createDataFrame([*raw.items(), (None, raw[1])], "doc_id long, text string")
     none = spark.createDataFrame([], "a long, b long")
-    label = {r["v"]: r["label"] for r in shingle_links.similar_classes(rows, none, tile=tile).collect()}
+    label = {r["v"]: r["label"] for r in shingle_links.similar_classes(rows, none, tile=tile, share=tile).collect()}
     assert {k: label.get(k, k) for k in raw} == root
-    chained = shingle_links.similar_classes(rows, spark.createDataFrame([(404, 405)], "a long, b long"), tile=tile)
+    chained = shingle_links.similar_classes(rows, spark.createDataFrame([(404, 405)], "a long, b long"), tile=tile, share=tile)
     assert (405, 404) in set(map(tuple, chained.collect()))
 
 

@@ -84,6 +84,25 @@ ORACLES: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op3_suffix_array_dedup": """
+        WITH b AS (
+          SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+          FROM documents),
+        parts AS (SELECT r, 1000 * o AS base, substr(h, 2000 * o + 1, 2398) AS part FROM (SELECT r, h, unnest(range((n + 800) // 1000)) AS o FROM b WHERE n >= 200)),
+        starts AS (SELECT r, base, part, unnest(range(len(part) // 2 - 199)) AS i FROM parts),
+        strings AS (SELECT r, base + i AS p, sha256(substr(part, 2 * i + 1, 400)) AS s FROM starts),
+        twice AS (SELECT r, p FROM strings WHERE s IN (SELECT s FROM strings GROUP BY s HAVING count(*) > 1)),
+        marked AS (SELECT r, p, coalesce(p > lag(p) OVER (PARTITION BY r ORDER BY p) + 200, true) AS opens FROM twice),
+        runs AS (SELECT r, p, count_if(opens) OVER (PARTITION BY r ORDER BY p) AS run FROM marked),
+        spans AS (SELECT r, min(p) AS a, max(p) + 200 AS z FROM runs GROUP BY r, run),
+        gaps AS (
+          SELECT r, a, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM spans
+          UNION ALL SELECT b.r, b.n, coalesce(max(z), 0) FROM b LEFT JOIN spans USING (r) GROUP BY b.r, b.n),
+        kept AS (SELECT g.r, string_agg(substr(b.h, 2 * since + 1, 2 * (a - since)), '' ORDER BY since) AS k FROM gaps g JOIN b USING (r) GROUP BY g.r),
+        sums AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM b JOIN kept USING (r) LEFT JOIN sums USING (r)
+    """,
     "op4_warc_archive": """
         WITH t AS (
           SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest

@@ -10,7 +10,8 @@ different places in the corpus covers those places.
 
 Equal texts are one row from the start. Texts are stored once, bucketed by key, and joined where they lie: what moves
 are anchors, the neighbourhoods at the borders of repeats, and spans. Repeats inside a slice of the input are combined
-before the exchange, so a passage of very many documents sends one row a slice. A shard of more than ``_MOST`` kinds, as
+before the exchange, so a passage of very many documents sends one row a slice. Anchors that many texts of a sample hold
+are dealt by their kinds as well as by their hash (see ``_common``). A shard of more than ``_MOST`` kinds, as
 a common passage has them whose surroundings differ, is split by the bytes beside its anchor (see ``_split``) until
 none is larger, so no task grows with the most common passage.
 """
@@ -32,6 +33,7 @@ _PIECE = 1 << 20
 _ODD = 0xD1342543DE82EF95
 _SHARD = 1 << 20
 _MOST = 1024
+_SAMPLE, _OFTEN, _HOT, _SALTS = 5000, 25, 4096, 1024
 _KEY_BITS = 64
 
 
@@ -150,11 +152,16 @@ def _rows(h, snip, more, key, pos, left, size, want, many, whole) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(list(cols), schema=_ROWS)
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match(hot: list[int]):
     """Anchors sorted by (h, snip, more) to what is covered as a whole (flags 4) and the kinds of a shard (flags 1 or 2).
 
-    A kind alone in its shard is left out. Only the last kind crosses batches, with whether its shard has others.
+    A kind alone in its shard is left out, but for the shards ``hot``, whose kinds are dealt to several tasks. Only the
+    last kind crosses batches, with whether its shard has others.
     """
+    return lambda batches: _matched(batches, hot)
+
+
+def _matched(batches: Iterator[pa.RecordBatch], hot: list[int]) -> Iterator[pa.RecordBatch]:
     import numpy as np
 
     held, others = None, False  # the rows of the last kind seen, combined; whether its shard had one before
@@ -181,7 +188,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = rows[new].copy()
         kinds["flags"][several] = 2
         same = kinds["h"][1:] == kinds["h"][:-1]
-        company = np.r_[others, same] | np.r_[same, False]
+        company = np.r_[others, same] | np.r_[same, False] | np.isin(kinds["h"], hot)
         if batch is None:
             out = kinds[company]
         else:  # the last kind may go on in the next batch
@@ -488,6 +495,20 @@ def _stored(texts: DataFrame) -> tuple[DataFrame, str, str]:
     return spark.table(name), name, path
 
 
+_FOUND = "h long, snip long, more long, key long, pos int, left int, size int, flags byte"
+
+
+def _common(texts: DataFrame, n: int, width: int, gram: int) -> list[int]:
+    """Hashes of the most frequent anchors of about ``_SAMPLE`` of ``n`` texts: those whose keys are smallest, which lie together.
+
+    At most ``_HOT``, with ``_OFTEN`` rows or more. The result decides which tasks look at an anchor, never what they find.
+    """
+    if n > _SAMPLE:
+        texts = texts.filter(F.col("key") < -(1 << 63) + (1 << 64) * _SAMPLE // n)
+    rows = texts.mapInArrow(_find(width, gram), _FOUND).filter("flags < 4").groupBy("h").agg(F.count("*").alias("n"))
+    return [r["h"] for r in rows.filter(F.col("n") >= _OFTEN).orderBy(F.col("n").desc(), "h").limit(_HOT).collect()]
+
+
 def _large(kinds: DataFrame, by: Column) -> DataFrame:
     """Stored h of the shards that ``by`` counts more than ``_MOST`` rows of; there are few, by far fewer than rows."""
     return materialise(kinds.filter(by).groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > _MOST).select("h"))
@@ -523,8 +544,11 @@ def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None,
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     small, rows = _keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("digest", F.unhex(F.sha2("text", 256))), seed)
     texts, name, path = _stored(rows)
-    found = texts.filter(F.octet_length("text") >= width).mapInArrow(_find(width, gram), "h long, snip long, more long, key long, pos int, left int, size int, flags byte")
-    kinds = materialise(found.repartition("h").sortWithinPartitions("h", "snip", "more").mapInArrow(_match, _KINDS))
+    wide = texts.filter(F.octet_length("text") >= width)
+    hot = _common(wide, small.count(), width, gram)
+    salt = F.when(F.col("h").isin(hot), F.pmod("snip", F.lit(_SALTS))).otherwise(F.lit(0).cast("long"))
+    found = wide.mapInArrow(_find(width, gram), _FOUND)
+    kinds = materialise(found.repartition("h", salt).sortWithinPartitions("h", "snip", "more").mapInArrow(_match(hot), _KINDS))
     large = _large(kinds, F.col("flags") < 4)
 
     def parts(of: DataFrame) -> DataFrame:

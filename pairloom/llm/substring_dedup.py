@@ -564,7 +564,7 @@ def substring_dedup(docs: DataFrame, width: int = 200, gram: int | None = None,
         shards, whole = parts(kinds.join(large, "h", "left_anti")).union(split), whole.union(covered)
     # sorting costs far more than its bytes tell, by which adaptive execution would deal it
     tasks = min(_TASKS, kinds.filter("flags < 4").count() // _TASK_ROWS)
-    dealt = shards.repartition(tasks, "h") if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else shards.repartition("h")
+    dealt = shards.repartition(tasks, "h") if tasks > 1 else shards.repartition("h")
     border = dealt.sortWithinPartitions("h").mapInArrow(_sort_shards(width, gram), "key long, start long, end long")
     spans = whole.union(border).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # bounded by the text's length
     cut = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(_cut(width), "key long, n_removed long, n_spans long, kept_sha256 string")

@@ -32,7 +32,6 @@ def test_frequent_anchors_dealt_by_kind(spark, monkeypatch, sample):
     """The same rows if every anchor that two texts share, or none but those of a few texts, is dealt by its kinds."""
     monkeypatch.setattr(substring_dedup, "_OFTEN", 2)
     monkeypatch.setattr(substring_dedup, "_SAMPLE", sample)
-    monkeypatch.setattr(substring_dedup, "_TASK_ROWS", 20)
     found, common = [], substring_dedup._common
     monkeypatch.setattr(substring_dedup, "_common", lambda *a: found.append(common(*a)) or found[-1])
     con = duckdb.connect()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pairloom.functions import text as tx
-from pairloom.operators import analysis, blocking, tfidf
+from pairloom.operators import analysis, blocking, sampling, tfidf
 
 
 def plain_topk(sets: dict[int, set], k: int) -> list[tuple]:
@@ -45,3 +45,14 @@ def test_word_masks_stay_in_their_row(spark):
     assert set(weights) == {(n, w) for n in range(40) for w in range(1 + n % 4)} | {(41, 0)}
     for (n, w), x in weights.items():
         assert n % 4 == 0 or n >= 40 or (abs(x - (w == 1)) < 0.02), (n, w, x)
+
+
+def test_large_samples_need_no_single_sort(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("i"), (F.col("id") * 7).alias("j"))
+    whole = [tuple(r) for r in df.orderBy(*sampling.hash_order(7, "i", "j")).collect()]
+    monkeypatch.setattr(sampling, "FEW", 10)
+    for n in (0, 10, 11, 1234, 2999, 3000, 5000):
+        got = sampling.take(df, n, 7, ["i", "j"])
+        assert sorted(map(tuple, got.collect())) == sorted(whole[:n])
+    a, b = sampling.size_matched(df, df.filter("i < 700"), 7, ["i", "j"])
+    assert (sorted(map(tuple, a.collect())), b.count()) == (sorted(whole[:700]), 700)

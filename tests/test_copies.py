@@ -1,9 +1,12 @@
 """Searches over rows of equal values: as plain searches by row, at the cost of the distinct values."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions import text as tx
-from pairloom.operators import analysis, blocking, sampling, tfidf
+from pairloom.operators import analysis, blocking, overlap, sampling, tfidf
 
 
 def plain_topk(sets: dict[int, set], k: int) -> list[tuple]:
@@ -56,3 +59,22 @@ def test_large_samples_need_no_single_sort(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == sorted(whole[:n])
     a, b = sampling.size_matched(df, df.filter("i < 700"), 7, ["i", "j"])
     assert (sorted(map(tuple, a.collect())), b.count()) == (sorted(whole[:700]), 700)
+
+
+@pytest.mark.parametrize("part", [40, 1000])
+def test_many_sets_meet_by_rare_keys(spark, monkeypatch, part):
+    draw = random.Random(5)
+    made = [(n, f"customer#{draw.randrange(2000):06d} {draw.choice(['red', 'blue', 'green'])}"[: draw.choice([99, 99, 4, 18])]) for n in range(400)]
+    made += [(400, "lone words"), (401, "zz"), (402, "other thing"), (403, "zz"), (404, "")]
+    grams = lambda t: {t[p : p + 3] for p in range(len(t) - 2)} if len(t) > 2 else {t} - {""}
+    df = spark.createDataFrame(made, "id long, name string")
+    whole = overlap.topk
+    monkeypatch.setattr(blocking, "MANY", 0)
+    monkeypatch.setattr(tfidf, "topk", lambda *a, **b: pytest.fail("all sets met"))
+    for kinds, cells in ((2048, 1 << 22), (3, 1 << 9)):
+        monkeypatch.setattr(overlap, "_KINDS", kinds)
+        monkeypatch.setattr(overlap, "_CELLS", cells)
+        monkeypatch.setattr(overlap, "topk", lambda rows, k: whole(rows, k, part))
+        got = blocking.shared_key_topk(df, tx.char_ngrams(F.col("name"), 3), 5)
+        assert sorted(map(tuple, got.collect())) == plain_topk({i: grams(t) for i, t in made}, 5)
+    assert whole(spark.createDataFrame([(1, ["a", "b"])], "id long, keys array<string>"), 2, vocabulary=1) is None

@@ -3,7 +3,7 @@
 import duckdb
 import numpy as np
 
-from pairloom.operators import copies, vectors
+from pairloom.operators import copies, encode, vectors
 
 
 def test_scores_round_as_in_sql(spark):
@@ -34,3 +34,13 @@ def test_equal_vectors_are_compared_once(spark, monkeypatch):
     got = vectors.dense_topk(df, 4).select("i", "j", "score", "rank").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
     assert seen == [len({n * n % 13 for n in range(200)}) + 1]
+
+
+def test_encoded_texts_are_stored_once(spark):
+    records = spark.createDataFrame([(n, ["red dog", "blue cat", ""][n % 3]) for n in range(30)], "id long, text string")
+    v = encode.hashed_tfidf(records)
+    assert "Exchange" not in v._jdf.queryExecution().executedPlan().toString()  # a search reads them many times
+    got = vectors.dense_topk(v, 2)
+    near = {n: [j for j in range(n % 3, 30, 3) if j != n][:2] for n in range(30) if n % 3 < 2}
+    found = sorted((r["i"], r["rank"], r["j"]) for r in got.collect() if r["i"] in near)
+    assert found == sorted((n, r, j) for n, js in near.items() for r, j in enumerate(js, 1))

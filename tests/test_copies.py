@@ -78,3 +78,17 @@ def test_many_sets_meet_by_rare_keys(spark, monkeypatch, part):
         got = blocking.shared_key_topk(df, tx.char_ngrams(F.col("name"), 3), 5)
         assert sorted(map(tuple, got.collect())) == plain_topk({i: grams(t) for i, t in made}, 5)
     assert whole(spark.createDataFrame([(1, ["a", "b"])], "id long, keys array<string>"), 2, vocabulary=1) is None
+
+
+def test_blocks_are_read_not_exchanged(spark):
+    made = [(n, f"w{t}", 1.0 + n % 3) for n in range(60) for t in range(n % 5, 9, 2)]
+    w = spark.createDataFrame(made, "id long, term string, weight double")
+    got = tfidf.topk(w, w, 3, exclude_self=True, sizes=(60, 60), block=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "CartesianProduct" in plan  # only a document's best rows are exchanged
+    held = {}
+    for n, t, x in made:
+        held.setdefault(n, {})[t] = x
+    score = lambda a, b: sum(x * b.get(t, 0) for t, x in a.items())
+    best = {n: sorted((-score(a, b), m) for m, b in held.items() if m != n and score(a, b))[:3] for n, a in held.items()}
+    assert sorted((r["i"], r["j"], r["rank"]) for r in got.collect()) == sorted((n, m, r) for n, x in best.items() for r, (_, m) in enumerate(x, 1))

@@ -60,7 +60,7 @@ def test_hybrid_queries_leave_no_ngram_scratch(spark, tmp_path):
     names = [(n, f"Customer#{n % 25:09d}", "ABC"[n % 3]) for n in range(40)]
     spark.createDataFrame(names, "c_custkey long, c_name string, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
     a, b = ({(r["i"], r["j"]) for r in pairs.unordered(QUERIES[q](spark, str(tmp_path))).collect()} for q in ("token_block_pairs", "ngram_topk"))
-    for name, want in (("hybrid_intersect", a & b),):
+    for name, want in (("hybrid_intersect", a & b), ("hybrid_union", a | b)):
         since = scratch.mark()
         assert rows(QUERIES[name](spark, str(tmp_path))) == sorted(want)
         assert scratch.mark() - since == 2  # the blocks and the n-gram pairs

@@ -64,3 +64,16 @@ def test_hybrid_queries_leave_no_ngram_scratch(spark, tmp_path):
         since = scratch.mark()
         assert rows(QUERIES[name](spark, str(tmp_path))) == sorted(want)
         assert scratch.mark() - since == 2  # the blocks and the n-gram pairs
+
+
+@pytest.mark.parametrize("ratio", [0.2, 0.5, 0.9])
+@pytest.mark.parametrize("positives", [0, 1, 40, 3000])
+def test_resampled_splits_need_no_stored_pairs(spark, monkeypatch, ratio, positives):
+    df = spark.range(3000).select((F.col("id") % 1500).alias("i"), (F.col("id") % 1500 * 7).alias("j"), (F.col("id") % 3 + F.col("id")).alias("n"), (F.col("id") < positives).cast("int").alias("label"))
+    df = df.unionByName(spark.createDataFrame([(0, 0, 1, None), (1, 1, 1, 2)], "i long, j long, n long, label int"))
+    named = df.select("i", "j", "label")  # every row of one label twice or more, where shares end too
+    want = rows(sampling.stratified_split(sampling.ratio_resample(named, ratio, 7, ["i", "j"]), 7, ["i", "j"]))
+    monkeypatch.setattr(sampling, "materialise", lambda _: pytest.fail("rows are stored"))
+    got = sampling.resampled_split(named, ratio, 7, ["i", "j"])
+    assert rows(got) == want
+    assert plan(got).count("Exchange") <= 2  # of the buckets in which a share ends

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import blocking, pairs, sampling
+from pairloom.operators import blocking, copies, overlap, pairs, sampling
 from pairloom.sources import scratch
 
 
@@ -77,3 +77,53 @@ def test_resampled_splits_need_no_stored_pairs(spark, monkeypatch, ratio, positi
     got = sampling.resampled_split(named, ratio, 7, ["i", "j"])
     assert rows(got) == want
     assert plan(got).count("Exchange") <= 2  # of the buckets in which a share ends
+
+
+def test_settled_leaves_only_the_result(spark):
+    import os
+    import time
+
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(local.getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, since = files(), scratch.mark()
+
+    def make():
+        stored = scratch.materialise(spark.range(5000).select("id", (F.col("id") % 7).alias("k")))
+        return stored.repartition(6, "k")
+
+    out = scratch.settled(spark, make)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert scratch.mark() - since == 1 and sum(r["id"] for r in out.collect()) == 5000 * 4999 // 2
+    assert all(os.path.exists(f.removeprefix("file://")) for f in out.inputFiles())
+
+
+def test_rare_keys_send_on_only_better_rows(spark, monkeypatch):
+    draw = random.Random(6)
+    sets = [(n, sorted({f"{p}{draw.randrange(25)}" for p in "abcdef"})) for n in range(200)]
+    made, real = [], overlap.settled
+    monkeypatch.setattr(overlap, "settled", lambda spark, make: made.append(real(spark, make)) or made[-1])
+    got = overlap.topk(spark.createDataFrame(sets, "id long, keys array<string>"), 4)
+    want = {i: sorted((-len(set(x) & set(y)), j) for j, y in sets if set(x) & set(y))[:4] for i, x in sets}
+    assert sorted((r["i"], r["rank"], -r["score"], r["j"]) for r in got.collect()) == sorted((i, n, *x) for i, best in want.items() for n, x in enumerate(best, 1))
+    near, _, far = made
+    first, later = ({(r["i"], -r["score"], r["j"]) for r in df.collect()} for df in (near, far))
+    assert later and not {(i, j) for i, _, j in first} & {(i, j) for i, _, j in later}
+    for i, s, j in later:
+        best = sorted((x[1], x[2]) for x in first if x[0] == i)
+        assert len(best) < 4 or (s, j) < best[3]
+
+
+def test_neighbours_of_different_rows_are_not_exchanged_by_candidate(spark):
+    found = spark.range(4000).select((F.col("id") % 2000).alias("i"), (F.col("id") * 7 % 2000).alias("j"), F.lit(1.0).alias("score"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        of = copies.classes(spark.range(2000), F.col("id"))
+        got = copies.neighbours(found.repartition("i"), of, 1)
+        assert "hashpartitioning(j" not in plan(got)
+        assert {r["i"] for r in got.collect()} <= set(range(2000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
